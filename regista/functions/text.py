@@ -13,24 +13,29 @@ def strip_accents(c: Column) -> Column:
 
 def non_letters_to_space(c: Column) -> Column:
     """Every run of characters that are not Unicode letters becomes one space."""
-    return F.regexp_replace(c, r"(?U)[^\p{IsAlphabetic}]+", " ")
+    return F.regexp_replace(c, r"\P{IsAlphabetic}++", " ")
 
 
 def normalize_name(c: Column) -> Column:
     """Lower-case letter tokens joined by single spaces.
 
     Tokens of one byte are dropped. After lower-casing and keeping letters only, those are
-    exactly the lone a-z, so a lone two-byte letter such as ``ç`` survives. The whole chain is
-    string-to-string and stays inside generated code; no array is built.
+    exactly the lone a-z, so a lone two-byte letter such as ``ç`` survives. One regex pass turns
+    each gap, together with any lone letters in it, into one space; no array is built.
     """
-    letters = non_letters_to_space(strip_accents(F.lower(c)))
-    return F.trim(F.regexp_replace(letters, r"(?:^| )[a-z](?= |$)", ""))
+    letter, other = r"[a-z\p{IsAlphabetic}]", r"[^a-z\p{IsAlphabetic}]"
+    gap = f"(?:{other}++|^)(?:[a-z](?!{letter}){other}*+)*+"
+    return F.trim(F.regexp_replace(strip_accents(F.lower(c)), gap, " "))
+
+
+def split_tokens(name: Column) -> Column:
+    """Tokens of a normalised name; an empty name has none, a NULL name stays NULL."""
+    return F.array_remove(F.split(name, " "), F.lit(""))
 
 
 def name_tokens(c: Column) -> Column:
-    """Tokens of :func:`normalize_name`; an empty name has none, a NULL name stays NULL."""
-    name = normalize_name(c)
-    return F.when(name == "", F.array().cast("array<string>")).otherwise(F.split(name, " "))
+    """Tokens of :func:`normalize_name`."""
+    return split_tokens(normalize_name(c))
 
 
 def token_key(c: Column) -> Column:

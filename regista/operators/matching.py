@@ -1,7 +1,7 @@
 """Free-text place names to official codes by token overlap within a county.
 
-The best match of a name depends only on its county and its token set, so each distinct
-(county, token set) is matched once and joined back to the rows.
+The best match of a name depends only on its county and its text, so each distinct (county, text)
+pair is matched once and joined back to the rows. Pairs with equal token sets share one search.
 
 No name is compared with all names of its county. The overlap of two token sets is the size of
 their largest common subset, so both sides list their subsets and meet on (county, subset); the
@@ -16,16 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regista.functions.text import token_key
+from regista.functions.text import split_tokens, token_key
 
 #: token sets up to this size list their subsets (at most 1024 each)
 LISTED_TOKENS = 10
 
 
-def _tokens(key: Column) -> Column:
-    return F.when(key == "", F.array().cast("array<string>")).otherwise(F.split(key, " "))
-
-
 def _subsets(tokens: Column, listed: int) -> Column:
     """Keys of all subsets of a sorted token set; only the empty one above ``listed`` tokens."""
     numbers = F.sequence(F.lit(0), F.pow(F.lit(2.0), F.least(F.array_size(tokens), F.lit(listed))).cast("int") - 1)
@@ -49,17 +45,20 @@ def match_places(
     carry: Sequence[str] = ("codi_comarca",),
     listed: int = LISTED_TOKENS,
 ) -> DataFrame:
-    """(county, place_key, code, carried columns, tokens_similar), one row per distinct name.
+    """(county, place, code, carried columns, tokens_similar), one row per distinct pair.
 
-    ``place_key`` is :func:`regista.functions.text.token_key` of the name. The best match has the
-    most shared tokens; ties go to the smallest code, NULL codes last. Counties the catalog does
-    not have give no row.
+    The best match has the most shared tokens; ties go to the smallest code, NULL codes last. A
+    NULL name shares nothing. Counties the catalog does not have give no row.
     """
-    wanted = (
+    pairs = (
         names.where(F.col(county).isNotNull())
-        .select(F.col(county).alias("county"), token_key(F.col(place)).alias("place_key"))
+        .select(F.col(county).alias("county"), F.col(place).alias("place"))
         .distinct()
-        .withColumn("tokens", _tokens(F.col("place_key")))
+        .withColumn("place_key", token_key(F.col("place")))
+    )
+    wanted = (
+        pairs.select("county", "place_key").distinct()
+        .withColumn("tokens", split_tokens(F.col("place_key")))
     )
     best = F.struct(
         F.col(code).isNull().alias("no_code"), F.col(code).alias("code"),
@@ -74,7 +73,7 @@ def match_places(
         )
         .groupBy("county", "name_key")
         .agg(F.min("best").alias("best"))
-        .withColumn("tokens", _tokens(F.col("name_key")))
+        .withColumn("tokens", split_tokens(F.col("name_key")))
     )
 
     by_subset = (
@@ -85,34 +84,39 @@ def match_places(
     listed_pairs = (
         wanted.select("county", "place_key", F.explode(_subsets(F.col("tokens"), listed)).alias("subset"))
         .join(by_subset, ["county", "subset"])
-        .select("county", "place_key", F.array_size(_tokens(F.col("subset"))).alias("overlap"), "best")
-    )
-
-    is_long = F.array_size("tokens") > listed
-    long_pairs = _counted_pairs(wanted.where(is_long), official).unionByName(
-        _counted_pairs(wanted.where(~is_long), official.where(is_long))
+        .select("county", "place_key", F.array_size(split_tokens(F.col("subset"))).alias("overlap"), "best")
     )
 
+    long_pairs = _counted_pairs(wanted, official, listed)
     top = (
         listed_pairs.unionByName(long_pairs)
         .groupBy("county", "place_key")
         .agg(F.min(F.struct((-F.col("overlap")).alias("rank"), "best")).alias("top"))
     )
-    return top.select(
+    return pairs.join(top, ["county", "place_key"]).select(
         F.col("county").alias(county),
-        "place_key",
+        F.col("place").alias(place),
         F.col("top.best.code").alias(code),
         *[F.col(f"top.best.{c}").alias(c) for c in carry],
         (-F.col("top.rank")).alias("tokens_similar"),
     )
 
 
-def _counted_pairs(wanted: DataFrame, official: DataFrame) -> DataFrame:
-    """Overlap of every pair that shares a token, by counting the shared tokens."""
-    left = wanted.select("county", "place_key", F.explode("tokens").alias("token"))
-    right = official.select("county", "name_key", F.explode("tokens").alias("token"), "best")
+def _counted_pairs(wanted: DataFrame, official: DataFrame, listed: int) -> DataFrame:
+    """Overlap of pairs with a side above ``listed`` tokens, by counting shared tokens.
+
+    A long name looks at all official names that share a token, a short one only at long ones.
+    """
+    is_long = F.array_size("tokens") > listed
+    seeks_long = F.when(is_long, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    left = wanted.select("county", "place_key", "tokens", F.explode(seeks_long).alias("long")).select(
+        "county", "place_key", "long", F.explode("tokens").alias("token")
+    )
+    right = official.select(
+        "county", "name_key", "best", is_long.alias("long"), F.explode("tokens").alias("token")
+    )
     return (
-        left.join(right, ["county", "token"])
+        left.join(right, ["county", "token", "long"])
         .groupBy("county", "place_key", "name_key", "best")
         .agg(F.count("*").cast("int").alias("overlap"))
         .select("county", "place_key", "overlap", "best")
@@ -122,6 +126,10 @@ def _counted_pairs(wanted: DataFrame, official: DataFrame) -> DataFrame:
 def attach_places(
     rows: DataFrame, matches: DataFrame, county: str = "comarca", place: str = "municipi"
 ) -> DataFrame:
-    """Rows with the columns of their match; NULL where the county is unknown."""
-    keyed = rows.withColumn("place_key", token_key(F.col(place)))
-    return keyed.join(matches, [county, "place_key"], "left").drop("place_key")
+    """Rows with the columns of their match; NULL where the county is unknown.
+
+    A row without a county has no match, a row without a place name has its county's.
+    """
+    side = matches.withColumnsRenamed({county: "__county", place: "__place"})
+    same = (rows[county] == F.col("__county")) & rows[place].eqNullSafe(F.col("__place"))
+    return rows.join(side, same, "left").drop("__county", "__place")

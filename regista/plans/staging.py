@@ -62,13 +62,18 @@ def staging_register(
     Types and qualifications must all be known. A row keeps the municipality of its county whose
     name shares most tokens with its own; rows equal in all raw fields and ids are kept once.
 
-    The distinct names are matched first and settled, so the full register is shuffled once, for
-    the distinct, and then meets the match table by broadcast if that is measured to be small.
+    The register is read twice. The first pass keeps only the distinct combinations of the text
+    columns that need a catalog, settled as a small table; checking and matching work on that. The
+    second pass shuffles the rows once, to remove copies, and meets the match table by broadcast
+    if that is measured to be small.
     """
     cleaned = clean_register(raw)
+    texts = settle(
+        cleaned.select("tipologia", "qualificacio", "comarca", "municipi").distinct()
+    )
     if validate:
-        require_no_violations(mapping_violations(cleaned, service_types, qualifications))
-    matches = broadcast_if_small(settle(match_places(cleaned, municipals)))
+        require_no_violations(mapping_violations(texts, service_types, qualifications))
+    matches = broadcast_if_small(settle(match_places(texts, municipals)))
     coded = coded_register(cleaned, service_types, qualifications)
     return typed_register(attach_places(coded, matches))
 

@@ -128,7 +128,7 @@ _TOWN_FIGURES_SQL = """town_figures AS (
 def _town_indicators(t: Tables) -> DataFrame:
     census = settle(roles.population(t))
     by_county = settle(roles.county_population(t, census))
-    coverage = roles.town_coverage(t, census, roles.mart(t))
+    coverage = roles.town_coverage(t, census, roles.town_mart(t))
     return indicators.municipal_indicators(census, coverage, by_county)
 
 
@@ -143,7 +143,7 @@ SELECT comarca_id, service_type_id, year, CAST(SUM(s) OVER (
   PARTITION BY comarca_id, service_type_id ORDER BY year) AS BIGINT) AS accumulated_places
 FROM (SELECT comarca_id, service_type_id, year, SUM(total_capacit) AS s FROM panel GROUP BY 1, 2, 3)"""))
 def series_cumsum(t: Tables) -> DataFrame:
-    return indicators.county_service_trend(roles.panel(t, roles.mart(t)))
+    return indicators.county_service_trend(roles.panel(t, roles.town_mart(t)))
 
 
 @query(with_ctes(MART_SQL, MUNICIPALS_SQL, PANEL_SQL, select=f"""
@@ -152,7 +152,7 @@ SELECT comarca_id, service_qualification_id, year, CAST(SUM(s) OVER (
 FROM (SELECT comarca_id, service_qualification_id, year, SUM(total_capacit) AS s FROM panel
       WHERE service_type_id = '{RESIDENCE}' GROUP BY 1, 2, 3)"""))
 def initiative_trend(t: Tables) -> DataFrame:
-    of_service = where_equals(roles.panel(t, roles.mart(t)), service_type_id=RESIDENCE)
+    of_service = where_equals(roles.panel(t, roles.town_mart(t)), service_type_id=RESIDENCE)
     return indicators.county_service_trend(of_service, "service_qualification_id")
 
 
@@ -162,19 +162,19 @@ JOIN (SELECT comarca_id, MIN(year) AS y FROM panel GROUP BY 1) f ON f.comarca_id
 WHERE p.year >= f.y"""))
 def county_population_trend(t: Tables) -> DataFrame:
     by_county = roles.county_population(t, roles.population(t))
-    return indicators.county_population_trend(by_county, roles.panel(t, roles.mart(t)))
+    return indicators.county_population_trend(by_county, roles.panel(t, roles.town_mart(t)))
 
 
 @query(with_ctes(MART_SQL, MUNICIPALS_SQL, PANEL_SQL, select="""
 SELECT DISTINCT comarca_id, service_type_id FROM panel WHERE total_capacit > 0"""))
 def available_services(t: Tables) -> DataFrame:
-    return indicators.available_services(roles.panel(t, roles.mart(t)))
+    return indicators.available_services(roles.panel(t, roles.town_mart(t)))
 
 
 @query(with_ctes(MART_SQL, MUNICIPALS_SQL, PANEL_SQL, select="""
 SELECT DISTINCT comarca_id, service_type_id, service_qualification_id FROM panel"""))
 def available_initiatives(t: Tables) -> DataFrame:
-    return indicators.available_initiatives(roles.panel(t, roles.mart(t)))
+    return indicators.available_initiatives(roles.panel(t, roles.town_mart(t)))
 
 
 def _center(figures: DataFrame) -> Column:

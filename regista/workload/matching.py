@@ -3,14 +3,18 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regista.fixed_values import COUNTY_RECODES
+from regista.functions.scalar import recode_value
 from regista.functions.text import name_tokens, normalize_name
 from regista.functions.text import token_similarity as similarity
 from regista.operators.matching import match_places
 from regista.operators.quality import by_match_quality
 from regista.operators.quality import unmatched_names as without_match
 from regista.plans.staging import staging_register as build_staging
+from regista.sources.catalogs import literal_catalog
 from regista.workload.registry import Tables, query
 from regista.workload.roles import with_ctes
+from regista.workspace import settle
 
 
 def tokens_sql(text: str) -> str:
@@ -105,61 +109,50 @@ matched AS (
   SELECT * FROM scored QUALIFY row_number() OVER (
     PARTITION BY comarca, municipi ORDER BY tokens_similar DESC, codi) = 1)"""
 
-_PLACE_KEY_SQL = f"array_to_string(list_sort(list_distinct({tokens_sql('municipi')})), ' ')"
-
-
 def _places(t: Tables) -> DataFrame:
-    """The distinct place texts of the register, without its line items' other columns."""
-    return _register(t).select(
-        F.when(F.col("comarca") == "Val d'Aran", "Aran").otherwise(F.col("comarca")).alias("comarca"),
-        "municipi",
-    )
+    """The distinct place texts of the register, settled: the matching reads them several times."""
+    county = recode_value(F.col("comarca"), COUNTY_RECODES)
+    return settle(_register(t).select(county.alias("comarca"), "municipi").distinct())
 
 
-@query(with_ctes(_REGISTER_SQL, _MATCH_SQL, select=f"""
-SELECT DISTINCT comarca, {_PLACE_KEY_SQL} AS place_key, codi, codi_comarca, tokens_similar
+@query(with_ctes(_REGISTER_SQL, _MATCH_SQL, select="""
+SELECT comarca, municipi, codi, codi_comarca, tokens_similar
 FROM matched"""))
 def place_name_match(t: Tables) -> DataFrame:
     return match_places(_places(t), _official_places(t))
 
 
-@query(with_ctes(_REGISTER_SQL, _MATCH_SQL, select=f"""
-SELECT DISTINCT comarca, {_PLACE_KEY_SQL} AS place_key, codi, codi_comarca, tokens_similar
-FROM matched WHERE tokens_similar = 0 """))
+@query(with_ctes(_REGISTER_SQL, _MATCH_SQL, select="""
+SELECT comarca, municipi, codi, codi_comarca, tokens_similar
+FROM matched WHERE tokens_similar = 0"""))
 def unmatched_names(t: Tables) -> DataFrame:
     return without_match(match_places(_places(t), _official_places(t)))
 
 
-@query(with_ctes(_REGISTER_SQL, _MATCH_SQL, select=f"""
-SELECT DISTINCT comarca, {_PLACE_KEY_SQL} AS place_key, tokens_similar FROM matched"""))
+@query(with_ctes(_REGISTER_SQL, _MATCH_SQL, select="""
+SELECT comarca, municipi, tokens_similar FROM matched"""))
 def weakest_matches_first(t: Tables) -> DataFrame:
     matches = match_places(_places(t), _official_places(t)).select(
-        "comarca", "place_key", "tokens_similar"
-    )
-    return by_match_quality(matches, "comarca", "place_key")
-
-
-def _catalog(t: Tables, id_prefix: str, values: DataFrame, name: str) -> DataFrame:
-    return values.select(
-        F.concat(F.lit(id_prefix), F.col("value")).alias(f"{name}_id"),
-        F.col("value").alias(f"{name}_description"),
+        "comarca", "municipi", "tokens_similar"
     )
+    return by_match_quality(matches, "comarca", "municipi")
 
 
 @query(with_ctes(_REGISTER_SQL, _MATCH_SQL, select="""
-SELECT DISTINCT social_service_register_id, inscription_date, capacity, service_type_id,
-       service_qualification_id, municipal_id, comarca_id
-FROM (
-  SELECT DISTINCT registre AS social_service_register_id, inscripcio AS inscription_date,
-         capacitat AS capacity, 'T-' || tipologia AS service_type_id,
-         'Q-' || qualificacio AS service_qualification_id,
-         m.codi AS municipal_id, m.codi_comarca AS comarca_id, r.municipi
-  FROM register r LEFT JOIN matched m ON m.comarca = r.comarca AND m.municipi = r.municipi)"""))
+SELECT registre AS social_service_register_id, inscripcio AS inscription_date,
+       capacitat AS capacity, 'T-' || tipologia AS service_type_id,
+       'Q-' || qualificacio AS service_qualification_id,
+       m.codi AS municipal_id, m.codi_comarca AS comarca_id
+FROM (SELECT DISTINCT * FROM register) r
+LEFT JOIN matched m ON m.comarca = r.comarca AND m.municipi = r.municipi"""))
 def staging_register(t: Tables) -> DataFrame:
     types = t.part.select(F.col("p_type").alias("value")).distinct()
-    flags = t.lineitem.select(F.col("l_returnflag").alias("value")).where("value <> 'N'").distinct()
-    staged = build_staging(
-        _register(t), _official_places(t),
-        _catalog(t, "T-", types, "service_type"), _catalog(t, "Q-", flags, "service_qualification"),
+    flags = literal_catalog(
+        t.spark, {"Q-A": "A", "Q-R": "R"},
+        "service_qualification_id", "service_qualification_description",
+    )
+    described = types.select(
+        F.concat(F.lit("T-"), "value").alias("service_type_id"),
+        F.col("value").alias("service_type_description"),
     )
-    return staged.distinct()
+    return build_staging(_register(t), _official_places(t), described, flags)

@@ -118,13 +118,13 @@ def top1_per_group(t: Tables) -> DataFrame:
 
 @query(with_ctes(MART_SQL, MUNICIPALS_SQL, PANEL_SQL, select="SELECT * FROM panel"))
 def active_service_panel(t: Tables) -> DataFrame:
-    return roles.panel(t, roles.mart(t))
+    return roles.panel(t, roles.town_mart(t))
 
 
 @query(with_ctes(MART_SQL, MUNICIPALS_SQL, POPULATION_SQL, TOWN_COVERAGE_SQL,
                  select="SELECT * FROM town_coverage"))
 def coverage_by_municipality(t: Tables) -> DataFrame:
-    return roles.town_coverage(t, roles.population(t), roles.mart(t))
+    return roles.town_coverage(t, roles.population(t), roles.town_mart(t))
 
 
 @query(with_ctes(MUNICIPALS_SQL, POPULATION_SQL, COUNTY_POPULATION_SQL,

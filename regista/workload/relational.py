@@ -151,7 +151,7 @@ FROM (SELECT municipal_id, year, CAST(SUM(total_capacit) AS BIGINT) AS capacity
       FROM mart GROUP BY 1, 2) m
 JOIN population p ON p.municipal_code = m.municipal_id AND p.year = m.year"""))
 def inner_join_using(t: Tables) -> DataFrame:
-    yearly = series_sum(roles.mart(t), ["municipal_id"], "year", "total_capacit")
+    yearly = series_sum(roles.town_mart(t), ["municipal_id"], "year", "total_capacit")
     census = roles.population(t).select(
         F.col("municipal_code").alias("municipal_id"), "year", "population"
     )
@@ -277,7 +277,7 @@ def row_counts(t: Tables) -> DataFrame:
 SELECT service_type_id, year, CAST(SUM(total_capacit) AS BIGINT) AS total_capacit
 FROM mart GROUP BY 1, 2"""))
 def group_sum_series(t: Tables) -> DataFrame:
-    return series_sum(roles.mart(t), ["service_type_id"], "year", "total_capacit")
+    return series_sum(roles.town_mart(t), ["service_type_id"], "year", "total_capacit")
 
 
 @query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")

@@ -43,11 +43,17 @@ def staging(t: Tables) -> DataFrame:
     )
 
 
+def town_mart(t: Tables) -> DataFrame:
+    """The capacity mart without its county column, for tables by municipality."""
+    keys = [k for k in CAPACITY_KEYS if k != "comarca_id"]
+    return capacity_mart(staging(t), MART_TYPES, keys)
+
+
 def mart(t: Tables) -> DataFrame:
     """The capacity mart; each municipality lies in one county."""
-    keys = [k for k in CAPACITY_KEYS if k != "comarca_id"]
-    monthly = capacity_mart(staging(t), MART_TYPES, keys)
-    return lookup(monthly, t.supplier, "municipal_id", "s_suppkey", {"comarca_id": "s_nationkey"})
+    return lookup(
+        town_mart(t), t.supplier, "municipal_id", "s_suppkey", {"comarca_id": "s_nationkey"}
+    )
 
 
 def population(t: Tables) -> DataFrame:
