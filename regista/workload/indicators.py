@@ -64,11 +64,19 @@ headline AS (
   FROM base)"""
 
 
-def _county_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """County population, mart and county coverage, each written once and then reused."""
+def _county_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """County population, which is read several times and so settled, and county coverage."""
     by_county = roles.settled_county_population(t)
-    of_mart = roles.settled_mart(t)
-    return by_county, of_mart, settle(roles.county_coverage(t, by_county, of_mart))
+    return by_county, roles.county_coverage(t, by_county, roles.mart(t))
+
+
+def _headline(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """County population, county coverage and the headline figures, all from residence rows."""
+    by_county = roles.settled_county_population(t)
+    residences = roles.settled_residence_mart(t)
+    coverage = roles.county_coverage(t, by_county, residences)
+    panel = roles.panel(t, residences)
+    return by_county, coverage, indicators.headline_indicators(by_county, panel, coverage, RESIDENCE)
 
 
 @query(with_ctes(MART_SQL, *_COUNTY, COUNTY_COVERAGE_SQL, PANEL_SQL, _YEARS_SQL, _HEADLINE_SQL,
@@ -76,8 +84,7 @@ def _county_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 SELECT *, array_to_string(list_transform(range(8), lambda i: CAST(latest_elderly_pct_rounded - 7 + 2 * i AS VARCHAR)), ',')
   AS elderly_thresholds FROM headline"""))
 def headline_indicators(t: Tables) -> DataFrame:
-    by_county, of_mart, coverage = _county_tables(t)
-    figures = indicators.headline_indicators(by_county, roles.panel(t, of_mart), coverage, RESIDENCE)
+    _, _, figures = _headline(t)
     limits = F.transform("elderly_thresholds", lambda v: v.cast("string"))
     return figures.withColumn("elderly_thresholds", F.array_join(limits, ","))
 
@@ -92,7 +99,7 @@ SELECT c.*, CAST(floor(0.0411::DOUBLE * population_ge65::DOUBLE - total_capacit:
                  AS BIGINT) AS deficit_411
 FROM county_coverage c JOIN years ON year = latest"""))
 def county_attention(t: Tables) -> DataFrame:
-    by_county, _, coverage = _county_tables(t)
+    by_county, coverage = _county_tables(t)
     return indicators.county_attention(by_county, coverage)
 
 
@@ -111,7 +118,7 @@ _COUNTY_FIGURES_SQL = """county_figures AS (
 @query(with_ctes(MART_SQL, *_COUNTY, COUNTY_COVERAGE_SQL, _YEARS_SQL, _SHARES_SQL, _VARIATION_SQL,
                  _COUNTY_FIGURES_SQL, select="SELECT * FROM county_figures"))
 def county_indicators(t: Tables) -> DataFrame:
-    by_county, _, coverage = _county_tables(t)
+    by_county, coverage = _county_tables(t)
     return indicators.county_indicators(by_county, coverage)
 
 
@@ -193,14 +200,15 @@ _COVERAGE_CLASS_SQL = """(CASE WHEN coverage_ratio IS NOT NULL THEN
 @query(with_ctes(MART_SQL, *_COUNTY, COUNTY_COVERAGE_SQL, PANEL_SQL, _YEARS_SQL, _HEADLINE_SQL,
                  _SHARES_SQL, _VARIATION_SQL, _COUNTY_FIGURES_SQL, select=f"""
 SELECT n_nationkey AS comarca_id, population, census_ge65, latest_value AS elderly_pct, variation,
-       total_capacit, coverage_ratio, n_name AS label,
+       total_capacit, coverage_ratio, nom_comarca AS label,
        {_CLASS_SQL.format("latest_value", "latest_elderly_pct_rounded")} AS elderly_class,
        {_COVERAGE_CLASS_SQL} AS coverage_class,
        CAST(floor(variation + 0.5) AS BIGINT) AS variation_shown
-FROM nation LEFT JOIN county_figures ON n_nationkey = comarca_id, headline"""))
+FROM nation LEFT JOIN county_figures ON n_nationkey = comarca_id
+LEFT JOIN (SELECT DISTINCT codi_comarca, nom_comarca FROM municipals) ON codi_comarca = n_nationkey,
+headline"""))
 def choropleth_table(t: Tables) -> DataFrame:
-    by_county, of_mart, coverage = _county_tables(t)
-    figures = indicators.headline_indicators(by_county, roles.panel(t, of_mart), coverage, RESIDENCE)
+    by_county, coverage, figures = _headline(t)
     features = t.nation.select(F.col("n_nationkey").alias("comarca_id"))
     by_id = indicators.county_indicators(by_county, coverage)
     return maps.county_map(features, by_id, roles.municipals(t), _center(figures))
@@ -216,10 +224,11 @@ FROM municipals LEFT JOIN town_figures ON codi = municipal_id, headline"""))
 def municipal_choropleth(t: Tables) -> DataFrame:
     census = settle(roles.population(t))
     by_county = settle(roles.county_population(t, census))
-    of_mart = roles.settled_mart(t)
-    by_town = roles.town_coverage(t, census, of_mart)
-    coverage = roles.county_coverage(t, by_county, of_mart)
-    figures = indicators.headline_indicators(by_county, roles.panel(t, of_mart), coverage, RESIDENCE)
+    residences = roles.settled_residence_mart(t)
+    by_town = roles.town_coverage(t, census, residences)
+    coverage = roles.county_coverage(t, by_county, residences)
+    panel = roles.panel(t, residences)
+    figures = indicators.headline_indicators(by_county, panel, coverage, RESIDENCE)
     features = roles.municipals(t).select(F.col("codi").alias("municipal_id"))
     by_id = indicators.municipal_indicators(census, by_town, by_county)
     return maps.municipal_map(features, by_id, roles.municipals(t), _center(figures))

@@ -3,20 +3,25 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _QUERIES: dict[str, Callable[["Tables"], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 
 class Tables:
-    """The parquet tables of one folder, as attributes."""
+    """The parquet tables of one folder, as attributes; a table's schema is looked up once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._schemas: dict[str, T.StructType] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
 
 def query(sql: str | None = None):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from regista.operators.aggregate import CAPACITY_KEYS
 from regista.operators.joins import lookup
+from regista.operators.project import where_equals
 from regista.plans.marts import capacity_mart
 from regista.plans.serving import (
     active_service_panel,
@@ -87,9 +88,9 @@ def town_coverage(t: Tables, census: DataFrame, of_mart: DataFrame) -> DataFrame
     return municipal_coverage(census, of_mart, municipals(t), FIRST, LAST, RESIDENCE, WIDE)
 
 
-def settled_mart(t: Tables) -> DataFrame:
-    """The mart written once, for queries that read it more than once."""
-    return settle(mart(t))
+def settled_residence_mart(t: Tables) -> DataFrame:
+    """The mart's residence rows written once; the filter reaches the scan of the service types."""
+    return settle(where_equals(mart(t), service_type_id=RESIDENCE))
 
 
 def settled_county_population(t: Tables) -> DataFrame:

@@ -1,6 +1,9 @@
 """Runs registered queries beside their SQL in DuckDB and compares names, types and values.
 
     python tools/check.py [sf folder] [query ...]
+
+CHECK_CONF holds further session settings, such as
+``spark.sql.autoBroadcastJoinThreshold=-1`` to try every join as a shuffle join.
 """
 
 import datetime
@@ -84,8 +87,10 @@ def main() -> int:
     args = sys.argv[1:]
     folder = args.pop(0) if args and "/" in args[0] else "/root/testdata/sf0.01"
     names = args or list(workload.queries())
+    given = dict(c.split("=", 1) for c in os.environ.get("CHECK_CONF", "").split() if c)
     spark = build_session("check", "local[8]", **{
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
+        "spark.ui.showConsoleProgress": "false", **given,
     })
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
