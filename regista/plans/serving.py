@@ -5,6 +5,8 @@ Carrying values forward and accumulating run over those sparse rows; the calenda
 afterwards by repeating each row until the next one.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,13 +155,15 @@ def serving_tables(
     municipals: DataFrame,
     service_types: DataFrame,
     qualifications: DataFrame,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> dict[str, DataFrame]:
     """The eight serving tables by name.
 
     The catalogs given should each be one snapshot. ``comarca_population`` also feeds the county
-    coverage; settle it first where both are written in one run.
+    coverage; ``keep`` (such as :func:`regista.workspace.settle`) saves computing it twice when
+    all tables are written in one run.
     """
-    by_county = comarca_population(population, municipals)
+    by_county = keep(comarca_population(population, municipals))
     return {
         "social_services_empty_last_year": active_service_panel(mart, municipals),
         "municipal_coverage": municipal_coverage(population, mart, municipals),

@@ -11,7 +11,7 @@ from regista.operators.joins import lookup
 from regista.operators.matching import attach_places, match_places
 from regista.operators.project import clean_register
 from regista.operators.quality import mapping_violations, require_no_violations
-from regista.sources.catalogs import literal_catalog, write_snapshot
+from regista.sources.catalogs import catalog_from_records, literal_catalog, write_snapshot
 from regista.workspace import broadcast_if_small, settle
 
 
@@ -87,8 +87,6 @@ def build_catalogs(
     municipal_records: DataFrame, folder: str, snapshot_ts: str, created_at: str | None = None
 ) -> None:
     """Writes a snapshot of the three catalogs under ``folder``."""
-    from regista.sources.catalogs import catalog_from_records
-
     spark = municipal_records.sparkSession
     catalogs = {
         "municipals": catalog_from_records(municipal_records, created_at=created_at),

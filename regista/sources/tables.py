@@ -48,9 +48,28 @@ def publish_mart(spark: SparkSession, source: str, target: str) -> None:
     spark.read.parquet(source).write.option("compression", "snappy").mode("overwrite").parquet(target)
 
 
+# --- Fixed values: row order of the serving tables ---
+SERVING_ORDER = {
+    "social_services_empty_last_year": ("year", "comarca_id", "municipal_id", "service_type_id"),
+    "municipal_coverage": ("municipal_id", "year"),
+    "comarca_population": ("comarca_id", "year"),
+    "comarca_coverage": ("comarca_id", "year"),
+}
+
+
+def in_serving_order(name: str, df: DataFrame) -> DataFrame:
+    """The table in its serving order, as one global sort."""
+    return df.orderBy(*SERVING_ORDER[name])
+
+
 def write_serving_json(tables: Mapping[str, DataFrame], base: str) -> None:
-    """Each serving table as a folder of JSON row objects; NULLs are written out."""
+    """Each serving table as a folder of JSON row objects; NULLs are written out.
+
+    Rows are in serving order within each file.
+    """
     for name, df in tables.items():
+        if name in SERVING_ORDER:
+            df = df.sortWithinPartitions(*SERVING_ORDER[name])
         df.write.option("ignoreNullFields", False).mode("overwrite").json(f"{base}/{name}")
 
 

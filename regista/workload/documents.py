@@ -47,12 +47,15 @@ def census_cubes(t: Tables, second_year_for_label: int | None = None) -> DataFra
     )
 
 
-@query("""
+CUBE_SQL = """
 SELECT vec_id || '-' || CAST(i AS VARCHAR) AS municipal_code,
        CAST(trunc(embedding[2 * i + 1]::DOUBLE * 100000) AS BIGINT) AS population_ge65,
        CAST(trunc(embedding[2 * i + 2]::DOUBLE * 100000) AS BIGINT) AS population,
        CAST(label + 2000 AS BIGINT) AS year
-FROM embeddings, generate_series(0, 30) g(i)""")
+FROM embeddings, generate_series(0, 30) g(i)"""
+
+
+@query(CUBE_SQL)
 def cube_decode(t: Tables) -> DataFrame:
     return census_rows(census_cubes(t))
 

@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 from regista.functions import geodesy
 from regista.functions.scalar import round_places
 from regista.operators import geometry
+from regista.operators.joins import members_only
+from regista.operators.project import where_equals
+from regista.sources.tables import publish_mart, write_parquet_snappy
 from regista.workload.registry import Tables, query
+from regista.workspace import run_folder
 
 _CODES = (1, 3, 5, 8, 25, 99)
 
@@ -130,3 +134,26 @@ def boundary_features(t: Tables) -> DataFrame:
 @query(_features_sql("CAST(e.vec_id AS VARCHAR)", "municipal_id"))
 def municipal_features(t: Tables) -> DataFrame:
     return geometry.boundary_features(_shapes(t), "municipis", digits=6)
+
+
+@query(_features_sql("CAST(e.vec_id AS VARCHAR)", "municipal_id") + """
+WHERE municipal_id IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier
+  JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey = 2)""")
+def feature_filter(t: Tables) -> DataFrame:
+    """The features of the municipalities of one area."""
+    features = geometry.boundary_features(_shapes(t), "municipis", digits=6)
+    counties = where_equals(t.nation, n_regionkey=2)
+    towns = members_only(t.supplier, "s_nationkey", counties, "n_nationkey").select(
+        F.col("s_suppkey").cast("string").alias("codi")
+    )
+    return members_only(features, "municipal_id", towns, "codi")
+
+
+@query(_features_sql("CAST(label AS VARCHAR)", "comarca_id"))
+def boundary_publish(t: Tables) -> DataFrame:
+    """C14: features staged as text rows and published unchanged."""
+    folder = run_folder(t.spark, "boundaries")
+    features = geometry.boundary_features(_shapes(t), "comarques", digits=6)
+    write_parquet_snappy(features, f"{folder}/staging")
+    publish_mart(t.spark, f"{folder}/staging", f"{folder}/marts")
+    return t.spark.read.parquet(f"{folder}/marts")

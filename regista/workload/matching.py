@@ -62,7 +62,7 @@ def _register(t: Tables) -> DataFrame:
     return t.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat(F.lit("S"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("registre"),
         "tipologia",
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("inscripcio"),
+        F.col("l_shipdate").cast("date").cast("string").alias("inscripcio"),
         F.when(F.col("l_linestatus") == "O", F.col("l_quantity").cast("int").cast("string"))
         .otherwise("abc").alias("capacitat"),
         "municipi",

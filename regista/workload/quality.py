@@ -84,7 +84,7 @@ def register_format_profile(t: Tables) -> DataFrame:
 
     text = t.lineitem.select(
         F.col("l_orderkey").cast("string").alias("l_orderkey"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
+        F.col("l_shipdate").cast("date").cast("string").alias("l_shipdate"),
         "l_returnflag",
     )
     return quality.pattern_profile(text, {

@@ -13,6 +13,7 @@ from regista.plans.serving import (
     comarca_population,
     municipal_coverage,
 )
+from regista.schemas import CAPACITY_MART
 from regista.workload.registry import Tables
 from regista.workspace import settle
 
@@ -52,9 +53,10 @@ def town_mart(t: Tables) -> DataFrame:
 
 def mart(t: Tables) -> DataFrame:
     """The capacity mart; each municipality lies in one county."""
-    return lookup(
+    placed = lookup(
         town_mart(t), t.supplier, "municipal_id", "s_suppkey", {"comarca_id": "s_nationkey"}
     )
+    return placed.select(*[f.name for f in CAPACITY_MART.fields])
 
 
 def population(t: Tables) -> DataFrame:

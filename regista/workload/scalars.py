@@ -18,7 +18,7 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS strict_date,
        CAST(trunc(o_totalprice - 200000) AS BIGINT) AS truncated
 FROM orders""")
 def strict_lenient_casts(t: Tables) -> DataFrame:
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day = F.col("o_orderdate").cast("date").cast("string")
     doubtful = F.when(F.col("o_orderstatus") == "P", F.lit("unknown")).otherwise(day)
     number = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).otherwise(
         F.col("o_custkey").cast("string")

@@ -6,12 +6,18 @@ from pyspark.sql import types as T
 
 from regista.fixed_values import SERVICE_TYPES
 from regista.functions.scalar import recode_value
+from regista.functions.document import member_codes
 from regista.operators.joins import lookup
-from regista.schemas import CAPACITY_MART
+from regista.operators.quality import row_count_status
+from regista.operators.sets import union_all
+from regista.plans.jobs import read_catalogs
+from regista.plans.staging import build_catalogs, staging_population
+from regista.schemas import CAPACITY_MART, CENSUS_CUBE
 from regista.sources import catalogs, tables
 from regista.sources.landing import PARTITION, read_landing_json
 from regista.streaming.landing import append_new_landing, landing_stream
 from regista.workload import roles
+from regista.workload.documents import CUBE_SQL, census_cubes
 from regista.workload.registry import Tables, query
 from regista.workload.roles import (
     COUNTY_POPULATION_SQL,
@@ -38,7 +44,7 @@ def landing_json_scan(t: Tables) -> DataFrame:
     t.orders.select(
         F.col("o_orderkey").cast("string").alias("registre"),
         F.col("o_orderpriority").alias("tipologia"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("inscripcio"),
+        F.col("o_orderdate").cast("date").cast("string").alias("inscripcio"),
         F.col("o_custkey").cast("string").alias("nif"),
         F.col("o_orderstatus").alias("districte"),
     ).write.json(f"{folder}/downloaded_date=20250809")
@@ -154,6 +160,39 @@ def catalog_from_records(t: Tables) -> DataFrame:
     return catalogs.catalog_from_records(records, created_at="2025-08-09T00:00:00")
 
 
+@query("""
+SELECT 'municipals' AS catalog, COUNT(*) AS row_count,
+       CASE WHEN COUNT(*) = 0 THEN 'error' WHEN COUNT(*) < 100 THEN 'warn' ELSE 'ok' END AS status
+FROM supplier
+UNION ALL VALUES ('service_type', 66, 'warn'), ('service_qualification', 3, 'warn')""")
+def catalog_build(t: Tables) -> DataFrame:
+    """Snapshots of the three catalogs, with the row-count rule applied to each."""
+    folder = run_folder(t.spark, "catalogs")
+    records = roles.municipals(t).select(*[F.col(c).cast("string") for c in catalogs.MUNICIPAL_COLUMNS])
+    build_catalogs(records, folder, "20250809_152821")
+    read = zip(("municipals", "service_type", "service_qualification"), read_catalogs(t.spark, folder))
+    return union_all([
+        row_count_status(df).select(F.lit(name).alias("catalog"), "row_count", "status")
+        for name, df in read
+    ])
+
+
+@query(CUBE_SQL)
+def census_landing(t: Tables) -> DataFrame:
+    """Census cubes landed as JSON documents, read with their index as raw JSON and decoded."""
+    folder = run_folder(t.spark, "census")
+    cubes = census_cubes(t).drop("vec_id")
+    as_arrays = {
+        name: F.struct(F.struct(
+            member_codes(F.col(f"dimension.{name}.category.index")).alias("index")
+        ).alias("category")).alias(name)
+        for name in ("YEAR", "MUN")
+    }
+    cubes.withColumn("dimension", F.struct(*as_arrays.values())).write.json(folder)
+    landed = read_landing_json(t.spark, folder, CENSUS_CUBE, _JSON_LINES, json_lines=True)
+    return staging_population(landed)
+
+
 @query(with_ctes(MART_SQL, select="SELECT * FROM mart"))
 def publish_mart(t: Tables) -> DataFrame:
     """The mart written to staging and promoted unchanged."""
@@ -173,6 +212,14 @@ def serving_json_roundtrip(t: Tables) -> DataFrame:
     return tables.read_serving_json(t.spark, folder, "comarca_population", by_county.schema)
 
 
+@query(with_ctes(MUNICIPALS_SQL, POPULATION_SQL, COUNTY_POPULATION_SQL,
+                 select="SELECT * FROM county_population ORDER BY comarca_id, year"))
+def serving_order(t: Tables) -> DataFrame:
+    """O3: a serving table in its row order."""
+    by_county = roles.county_population(t, roles.population(t))
+    return tables.in_serving_order("comarca_population", by_county)
+
+
 @query("SELECT DISTINCT p_name FROM part")
 def csv_distinct_values(t: Tables) -> DataFrame:
     """Distinct values of a column as CSV."""

@@ -135,3 +135,8 @@ def test_documents(spark):
     assert one(spark, path) == "staging/x/landing.json"
     zipped = document.zip_fields(F.array(F.lit("A"), F.lit("B")), F.array(F.lit("1"), F.lit("2")))
     assert one(spark, zipped) == {"A": "1", "B": "2"}
+
+
+@pytest.mark.parametrize("raw", ["2007", "2007-02", "2007-2-7", " 2007-02-07", "2007-02-07x", "2007-02-07\n", "", "abc"])
+def test_other_date_texts_are_null(spark, raw):
+    assert one(spark, scalar.parse_date_lenient(F.col("s")), s=raw) is None
