@@ -42,14 +42,18 @@ def read_catalogs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
 
 def stage_register(spark: SparkSession, base: str, catalogs: str, downloaded_date: str) -> None:
-    """Stages the register pages of one date as the partition of that date."""
-    raw = read_landing_json(spark, f"{base}/landing/{REGISTER}/{PARTITION}={downloaded_date}")
+    """Stages the register pages of one date as the partition of that date.
+
+    The pages are parsed once; every later pass reads the settled columns it needs.
+    """
+    raw = settle(read_landing_json(spark, f"{base}/landing/{REGISTER}/{PARTITION}={downloaded_date}"))
     require_rows(raw, "the landing folder")
     staged = staging_register(raw, *read_catalogs(spark, catalogs))
     target = f"{base}/staging/{REGISTER}"
     tables.write_partition(staged, target, PARTITION, downloaded_date)
     written = tables.read_partition(spark, target, PARTITION, downloaded_date, STAGING_REGISTER)
     require_distinct_preserved(raw, "registre", written, "social_service_register_id")
+    tables.append_audit(written, f"{REGISTER}/{downloaded_date}", f"{base}/audit")
 
 
 def build_capacity_mart(spark: SparkSession, base: str, downloaded_date: str) -> None:
@@ -57,7 +61,9 @@ def build_capacity_mart(spark: SparkSession, base: str, downloaded_date: str) ->
     staged = tables.read_partition(
         spark, f"{base}/staging/{REGISTER}", PARTITION, downloaded_date, STAGING_REGISTER
     )
-    tables.write_parquet_snappy(capacity_mart(staged), f"{base}/marts/{CAPACITY}")
+    target = f"{base}/marts/{CAPACITY}"
+    tables.write_parquet_snappy(capacity_mart(staged), target)
+    tables.append_audit(spark.read.schema(CAPACITY_MART).parquet(target), CAPACITY, f"{base}/audit")
 
 
 def build_population(spark: SparkSession, base: str) -> None:
@@ -67,6 +73,7 @@ def build_population(spark: SparkSession, base: str) -> None:
     staged = f"{base}/staging/{CENSUS}"
     tables.write_parquet_snappy(staging_population(cubes), staged)
     tables.publish_mart(spark, staged, f"{base}/marts/{CENSUS}")
+    tables.append_audit(spark.read.schema(POPULATION).parquet(staged), CENSUS, f"{base}/audit")
 
 
 def build_boundaries(shapes_by_level: dict[str, DataFrame], base: str) -> None:

@@ -92,6 +92,6 @@ def audit_row(df: DataFrame, dataset: str) -> DataFrame:
     )
 
 
-def append_audit(spark: SparkSession, written_path: str, dataset: str, audit_path: str) -> None:
-    """Records what a sink holds: reads back the written files' counts, not the job again."""
-    audit_row(spark.read.parquet(written_path), dataset).write.mode("append").parquet(audit_path)
+def append_audit(written: DataFrame, dataset: str, audit_path: str) -> None:
+    """Records what a sink holds. ``written`` reads the files back, so the job is not run again."""
+    audit_row(written, dataset).write.mode("append").parquet(audit_path)

@@ -101,10 +101,12 @@ def single_member_dimension(t: Tables) -> DataFrame:
     return quality.multi_member_dimensions(cubes).select("vec_id", "member_count")
 
 
-@query("""
+@query(f"""
 SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem
-WHERE year(l_shipdate) NOT IN (SELECT year(o_orderdate) FROM orders WHERE year(o_orderdate) % 2 = 0)""")
+WHERE year(l_shipdate) NOT IN
+  (SELECT year(o_orderdate) FROM orders WHERE year(o_orderdate) IN {roles.CENSUS_YEARS})""")
 def expected_members_complete(t: Tables) -> DataFrame:
     expected = t.lineitem.select(F.year("l_shipdate").alias("year"))
-    landed = t.orders.select(F.year("o_orderdate").alias("year")).where("year % 2 = 0")
+    years = t.orders.select(F.year("o_orderdate").alias("year"))
+    landed = years.where(F.col("year").isin(*roles.CENSUS_YEARS))
     return quality.missing_members(expected, landed, "year")

@@ -237,7 +237,7 @@ def sink_audit(t: Tables) -> DataFrame:
     folder = run_folder(t.spark, "audit")
     names = [f.name for f in CAPACITY_MART.fields]
     tables.write_parquet_snappy(roles.mart(t).select(*names), f"{folder}/mart")
-    tables.append_audit(t.spark, f"{folder}/mart", "capacity_mart", f"{folder}/audit")
+    tables.append_audit(t.spark.read.parquet(f"{folder}/mart"), "capacity_mart", f"{folder}/audit")
     return t.spark.read.parquet(f"{folder}/audit").select("dataset", "row_count", "columns")
 
 

@@ -61,6 +61,13 @@ def test_landing_to_serving(spark, tmp_path, rows):
     jobs.build_population(spark, base)
     assert spark.read.parquet(f"{base}/marts/{jobs.CENSUS}").count() == 4
 
+    audit = spark.read.parquet(f"{base}/audit").orderBy("processed_at")
+    assert [tuple(r) for r in audit.select("dataset", "row_count").collect()] == [
+        (f"{jobs.REGISTER}/20250801", 1), (f"{jobs.REGISTER}/20250801", 1),
+        (f"{jobs.REGISTER}/20250808", 3), (f"{jobs.REGISTER}/20250808", 3),
+        (jobs.CAPACITY, 3), (jobs.CENSUS, 4),
+    ]
+
     jobs.build_serving(spark, base, catalogs)
     cover = spark.read.json(f"{base}/serving/comarca_coverage")
     assert rows(cover.where("year in (2010, 2011, 2012, 2025)"), "comarca_id", "year", "coverage_ratio") == [

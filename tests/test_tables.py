@@ -38,8 +38,8 @@ def test_publish_serving_csv_and_audit(spark, tmp_path, rows):
     assert rows(tables.read_serving_json(spark, f"{tmp_path}/serving", "t", df.schema)) == rows(df)
     tables.write_csv_distinct(df, "k", f"{tmp_path}/csv")
     assert rows(spark.read.option("header", True).csv(f"{tmp_path}/csv")) == [("a",), ("b",)]
-    tables.append_audit(spark, f"{tmp_path}/marts", "marts", f"{tmp_path}/audit")
-    tables.append_audit(spark, f"{tmp_path}/marts", "again", f"{tmp_path}/audit")
+    for dataset in ("marts", "again"):
+        tables.append_audit(spark.read.parquet(f"{tmp_path}/marts"), dataset, f"{tmp_path}/audit")
     audit = spark.read.parquet(f"{tmp_path}/audit")
     assert rows(audit, "dataset", "row_count", "columns") == [("again", 3, "k,v"), ("marts", 3, "k,v")]
     assert audit.where("processed_at is null").count() == 0
