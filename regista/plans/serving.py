@@ -29,7 +29,8 @@ def active_service_panel(
     """Capacity per municipality, type and qualification for every year from the first active one.
 
     Years without inscriptions are zero rows; a year with several mart rows keeps them all. Rows
-    with a NULL id or a municipality outside the catalog drop out.
+    with a NULL id or a municipality outside the catalog drop out. The county is joined to the
+    sparse rows, so one shuffle on the municipality serves the join and the gap filling.
     """
     keys = ["municipal_id", "service_type_id", "service_qualification_id"]
     facts = mart.select(*keys, "year", "total_capacit").where(
@@ -38,9 +39,10 @@ def active_service_panel(
     counties = municipals.select(
         F.col("codi").alias("municipal_id"), F.col("codi_comarca").alias("comarca_id")
     ).distinct()
-    panel = zero_filled_from_first(facts, keys, "total_capacit", first, last)
-    return panel.join(counties, "municipal_id").select(
-        *keys, "comarca_id",
+    placed = facts.join(counties, "municipal_id")
+    keys.append("comarca_id")
+    return zero_filled_from_first(placed, keys, "total_capacit", first, last).select(
+        *keys,
         F.col("year").cast("int").alias("year"),
         F.col("total_capacit").cast(measure_type).alias("total_capacit"),
     )

@@ -34,10 +34,10 @@ def main(source: str, target: str) -> None:
             f"CASE WHEN hash({key}) % 3 = 0 THEN {v} ELSE {c} END AS {c}" for c, v in changes.items()
         )
         replace = f"* REPLACE ({moved})" if moved else "*"
-        con.execute(f"COPY (SELECT {replace} FROM source) TO '{target}/{name}.parquet' (FORMAT parquet)")
+        con.execute(f"COPY (SELECT {replace} FROM source) TO '{target}/{name}.parquet' (FORMAT parquet, ROW_GROUP_SIZE 20480)")
     for name in OTHERS:
         con.execute(f"COPY (FROM read_parquet('{source}/{name}.parquet')) "
-                    f"TO '{target}/{name}.parquet' (FORMAT parquet)")
+                    f"TO '{target}/{name}.parquet' (FORMAT parquet, ROW_GROUP_SIZE 20480)")
 
 
 if __name__ == "__main__":
