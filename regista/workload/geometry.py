@@ -127,7 +127,7 @@ FROM shapes"""
 
 
 @query(_features_sql("CAST(label AS VARCHAR)", "comarca_id"))
-def boundary_features(t: Tables) -> DataFrame:
+def feature_emit(t: Tables) -> DataFrame:
     return geometry.boundary_features(_shapes(t), "comarques", digits=6)
 
 

@@ -118,7 +118,7 @@ def _places(t: Tables) -> DataFrame:
 @query(with_ctes(_REGISTER_SQL, _MATCH_SQL, select="""
 SELECT comarca, municipi, codi, codi_comarca, tokens_similar
 FROM matched"""))
-def place_name_match(t: Tables) -> DataFrame:
+def fanout_join_match(t: Tables) -> DataFrame:
     return match_places(_places(t), _official_places(t))
 
 

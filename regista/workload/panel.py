@@ -60,16 +60,27 @@ def forward_fill(t: Tables) -> DataFrame:
     return cells.withColumn("order_count", last_known(F.col("order_count"), ["o_custkey"]))
 
 
-@query(with_ctes(_GRID_SQL, select="""
+@query(f"""
+WITH grid AS (
+  SELECT s_suppkey, CAST(y AS INTEGER) AS year FROM supplier, generate_series({FIRST}, {LAST}) g(y)),
+yearly AS (
+  SELECT l_suppkey AS s_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year,
+         SUM(l_quantity) AS added FROM lineitem GROUP BY 1, 2)
 SELECT * FROM (
-  SELECT o_custkey, year, CAST(SUM(order_count) OVER (
-    PARTITION BY o_custkey ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-    AS BIGINT) AS order_count
-  FROM grid LEFT JOIN yearly USING (o_custkey, year)) WHERE order_count IS NOT NULL"""))
-def cumulative_sum(t: Tables) -> DataFrame:
-    cells = densify(_customer_grid(t), _customer_years(t), ["o_custkey", "year"])
-    total = cells.withColumn("order_count", running_sum(F.col("order_count"), ["o_custkey"]))
-    return total.where(F.col("order_count").isNotNull())
+  SELECT s_suppkey, year, CAST(SUM(added) OVER (
+    PARTITION BY s_suppkey ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    AS BIGINT) AS total_capacity
+  FROM grid LEFT JOIN yearly USING (s_suppkey, year)) WHERE total_capacity IS NOT NULL""")
+def cumulative_capacity(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(
+        F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("year"),
+        F.col("l_quantity").alias("total_capacity"),
+    )
+    yearly = aggregate.series_sum(rows, ["s_suppkey"], "year", "total_capacity")
+    grid = calendar_grid(t.supplier.select("s_suppkey"), FIRST, LAST)
+    cells = densify(grid, yearly, ["s_suppkey", "year"])
+    total = cells.withColumn("total_capacity", running_sum(F.col("total_capacity"), ["s_suppkey"]))
+    return total.where(F.col("total_capacity").isNotNull())
 
 
 @query("""

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from regista.functions.scalar import null_text_to_null, recode_value
 from regista.functions.text import strip_quotes
+from regista.operators import project, sets
 from regista.operators.aggregate import (
     bounds,
     distinct_list,
@@ -19,8 +20,7 @@ from regista.operators.joins import (
     unmapped_values,
     value_difference,
 )
-from regista.operators.project import common_columns, not_matching, rename_project, where_equals
-from regista.operators.sets import set_difference, union_all, union_diagonal
+from regista.operators.project import not_matching, rename_project, where_equals
 from regista.workload import roles
 from regista.workload.registry import Tables, query
 from regista.workload.roles import MART_SQL, POPULATION_SQL, with_ctes
@@ -87,32 +87,32 @@ def _suppliers(t: Tables) -> DataFrame:
 @query("""
 SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nation, c_acctbal AS balance
 FROM customer""")
-def columns_in_common(t: Tables) -> DataFrame:
-    return common_columns(_customers(t), _suppliers(t))
+def common_columns(t: Tables) -> DataFrame:
+    return project.common_columns(_customers(t), _suppliers(t))
 
 
 @query("""
 SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nation, c_acctbal AS balance
 FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
-def union_same_schema(t: Tables) -> DataFrame:
-    return union_all([common_columns(_customers(t), _suppliers(t)), _suppliers(t)])
+def union_all(t: Tables) -> DataFrame:
+    return sets.union_all([project.common_columns(_customers(t), _suppliers(t)), _suppliers(t)])
 
 
 @query("""
 SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nation, c_acctbal AS balance,
        c_mktsegment AS segment FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier""")
-def union_by_name(t: Tables) -> DataFrame:
-    return union_diagonal([_customers(t), _suppliers(t)])
+def union_diagonal(t: Tables) -> DataFrame:
+    return sets.union_diagonal([_customers(t), _suppliers(t)])
 
 
 @query("""
 SELECT DISTINCT c_custkey AS customer_key FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
-def customers_without_finished_orders(t: Tables) -> DataFrame:
+def set_difference(t: Tables) -> DataFrame:
     finished = t.orders.where(F.col("o_orderstatus") == "F")
-    return set_difference(
+    return sets.set_difference(
         t.customer.select(F.col("c_custkey").alias("customer_key")),
         finished.select(F.col("o_custkey").alias("customer_key")),
         "customer_key",

@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,3 +141,22 @@ def test_documents(spark):
 @pytest.mark.parametrize("raw", ["2007", "2007-02", "2007-2-7", " 2007-02-07", "2007-02-07x", "2007-02-07\n", "", "abc"])
 def test_other_date_texts_are_null(spark, raw):
     assert one(spark, scalar.parse_date_lenient(F.col("s")), s=raw) is None
+
+
+def plain_tokens(text_value):
+    folds = str.maketrans("áàéèíìóòúù", "aaeeiioouu")
+    letters = "".join(c if c.isalpha() else " " for c in text_value.lower().translate(folds))
+    return [t for t in letters.split() if len(t.encode()) > 1]
+
+
+def test_normalisation_of_random_texts(spark):
+    rng = random.Random(7)
+    alphabet = "aabbcdeéèàÀÉçÇïüñzZ  ..,'·-\t\n 0179ßжЖ中ª"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 24))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select(
+        "s", text.normalize_name(F.col("s")).alias("n"), text.name_tokens(F.col("s")).alias("t")
+    )
+    for row in df.collect():
+        expected = plain_tokens(row["s"])
+        assert row["t"] == expected, repr(row["s"])
+        assert row["n"] == " ".join(expected)

@@ -30,3 +30,14 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query_agrees_with_sql(spark, con, name):
     assert compare(spark, con, name, FOLDER) is None
+
+
+def test_operator_index_names_exist():
+    import re
+
+    path = os.path.join(os.path.dirname(driver.__file__), "OPERATORS.md")
+    with open(path, encoding="utf-8") as index:
+        rows = [line.split("|") for line in index if re.match(r"\| [A-Z]\d+ ", line)]
+    named = {q for row in rows for q in re.findall(r"`(\w+)`", row[3])}
+    assert named == set(driver.queries())
+    assert len(rows) == len({row[1] for row in rows})
