@@ -8,6 +8,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as driver  # noqa: E402
 from check import compare, connect  # noqa: E402
 
+from regista import workload  # noqa: E402
+
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
@@ -18,7 +20,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(workload.queries()) == set(workload.oracle_sql())
 
 
 def test_entry(spark):
@@ -27,7 +29,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_query_agrees_with_sql(spark, con, name):
     assert compare(spark, con, name, FOLDER) is None
 
@@ -39,5 +41,5 @@ def test_operator_index_names_exist():
     with open(path, encoding="utf-8") as index:
         rows = [line.split("|") for line in index if re.match(r"\| [A-Z]\d+ ", line)]
     named = {q for row in rows for q in re.findall(r"`(\w+)`", row[3])}
-    assert named == set(driver.queries())
+    assert named == set(workload.queries())
     assert len(rows) == len({row[1] for row in rows})
