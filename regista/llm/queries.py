@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regista.llm import simhash
+from regista.llm import packing, rules, sharding, simhash
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -26,11 +26,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query()
+def op2_consistent_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
+@_query(rules.ORACLE)
+def op8_quality_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(rules.ledger(_table(spark, sf_dir, "documents"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @_query()
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
