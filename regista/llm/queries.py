@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regista.llm import packing, rules, sharding, simhash
+from regista.llm import packing, rules, sharding, simhash, substrings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op2_consistent_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digests(_table(spark, sf_dir, "documents"))
+
+
 @_query(rules.ORACLE)
 def op8_quality_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(rules.ledger(_table(spark, sf_dir, "documents"))).select(
