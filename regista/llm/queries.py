@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regista.llm import decontamination, packing, rules, sharding, simhash, substrings
+from regista.llm import decontamination, packing, rules, sharding, simhash, substrings, toxicity
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digests(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op5_class_conditional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query()
 def op7_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
