@@ -35,7 +35,7 @@ _SEED_WORDS = 5
 #: bits of the filter: 16 MB on the driver and in each worker, however large the input
 FILTER_BITS = 27
 #: suffixes of a group, counted over all positions (of which a part become suffixes)
-GROUP_SUFFIXES = 4_000_000
+GROUP_SUFFIXES = 1_000_000
 _SYMBOLS = 8                 # words of a suffix that are told apart singly; the rest is one edge
 _LAST = (1 << 63) - 1        # stands for a null doc_id: after all others
 _U = np.uint64
@@ -250,8 +250,22 @@ def _marks(doc: np.ndarray, place: np.ndarray, keys: np.ndarray, digests: np.nda
     return _pack(np.zeros(len(doc), "<u8"), np.zeros(len(doc), "<u8"), doc, place, keys, digests)
 
 
-def _subtree(table: pa.Table) -> pa.Table:
-    """Marks of one group: (key, digest, places), a row for each of its documents with any."""
+def _subtree(buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Marks of one group, in a value for each bucket of documents."""
+        keys, digests, doc, place = _marked(table)
+        target = (mixed(digests.view(np.uint64) ^ mixed(keys.view(np.uint64))) % _U(buckets)).astype(np.int64)[doc]
+        by = np.argsort(target, kind="stable")
+        cuts = np.flatnonzero(np.concatenate(([True], target[by][1:] != target[by][:-1]))) if len(by) else []
+        parts = np.split(by, cuts[1:]) if len(by) else []
+        return pa.table({"bucket": pa.array([int(target[p[0]]) for p in parts], pa.int32()),
+                         "marks": pa.array([_marks(doc[p], place[p], keys, digests) for p in parts], pa.binary())})
+
+    return run
+
+
+def _marked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, digests, doc, place): documents of a group, and the suffixes of them that are marked."""
     keys, digests, his, los, docs, places = [], [], [], [], [], []
     known = 0
     ready: list[tuple[np.ndarray, np.ndarray]] = []
@@ -280,13 +294,22 @@ def _subtree(table: pa.Table) -> pa.Table:
     marked = order[later]
     doc = np.concatenate([doc[marked], *[x[0] for x in ready]])
     place = np.concatenate([place[marked], *[x[1] for x in ready]])
-    by = np.lexsort((place, doc))
-    doc, place = doc[by], place[by]
-    cuts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else np.zeros(0, np.int64)
-    own = doc[cuts]
-    ends = np.append(cuts, len(doc)).tolist()
-    return pa.table({"key": pa.array(key[own]), "digest": pa.array(digest[own]),
-                     "places": pa.array([place[s:e].astype("<u4").tobytes() for s, e in zip(ends, ends[1:])], pa.binary())})
+    return key, digest, doc, place
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """Marks of one bucket: (key, digest, places), a row for each document with any."""
+    parts = [_unpack(raw) for raw in table.column("marks")]
+    shift = np.cumsum([0, *[len(p[0]) for p in parts]])
+    key, digest = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    doc = np.concatenate([p[4].astype(np.int64) + s for p, s in zip(parts, shift)])
+    place = np.concatenate([p[5] for p in parts])
+    by = np.lexsort((place, digest[doc], key[doc]))
+    k, d, place = key[doc[by]], digest[doc[by]], place[by].astype("<u4")
+    cuts = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1]))))
+    ends = np.append(cuts, len(k)).tolist()
+    return pa.table({"key": pa.array(k[cuts]), "digest": pa.array(d[cuts]),
+                     "places": pa.array([place[s:e].tobytes() for s, e in zip(ends, ends[1:])], pa.binary())})
 
 
 def repeats(docs: DataFrame, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
@@ -296,17 +319,18 @@ def repeats(docs: DataFrame, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     key, digest, text = row_key()
     plan = docs.sparkSession.sparkContext.broadcast(tuple(_plan(docs, group_suffixes)))
     suffixes = docs.select(key.alias("key"), text.alias("text")).mapInArrow(_suffix_batches(plan), "group int, payload binary")
-    marks = suffixes.groupBy("group").applyInArrow(_subtree, "key bigint, digest bigint, places binary")
-    return marks.groupBy("key", "digest").agg(F.collect_list("places").alias("places"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marks = suffixes.groupBy("group").applyInArrow(_subtree(buckets), "bucket int, marks binary")
+    return marks.groupBy("bucket").applyInArrow(_by_document, "key bigint, digest bigint, places binary")
 
 
-def _kept(text: bytes, places: list[bytes] | None) -> tuple[int, list[bytes] | None]:
+def _kept(text: bytes, places: bytes | None) -> tuple[int, list[bytes] | None]:
     """The number of words, and those that stay; None if all do."""
     words = text.split()     # bytes split at 0x20 and 0x09 to 0x0D
     if not places:
         return len(words), None
     edge = np.zeros(len(words) + 1, np.int64)
-    at = np.unique(np.concatenate([np.frombuffer(p, "<u4") for p in places])).astype(np.int64)
+    at = np.unique(np.frombuffer(places, "<u4")).astype(np.int64)
     edge[at] += 1
     edge[at + WINDOW] -= 1
     return len(words), list(compress(words, (np.cumsum(edge[:-1]) == 0).tolist()))

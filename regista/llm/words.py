@@ -15,7 +15,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _WINDOW_BASE = 0xD6E8FEB86659FD93
