@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regista.llm import decontamination, packing, rules, sharding, simhash, substrings, toxicity, warc
+from regista.llm import decontamination, extraction, packing, rules, sharding, simhash, substrings, toxicity, warc
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op5_class_conditional_toxicity(spark: SparkSession, sf_dir: str) -> DataFram
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query()
+def op6_text_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 @_query()
 def op7_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
