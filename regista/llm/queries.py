@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regista.llm import decontamination, extraction, packing, rules, sharding, simhash, substrings, toxicity, warc
+from regista.llm import decontamination, extraction, ngram_lm, packing, rules, sharding, simhash, substrings, toxicity, warc
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digests(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op4_kneser_ney_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(_table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op5_class_conditional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
