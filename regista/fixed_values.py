@@ -8,8 +8,8 @@ FOLDED_TO = "aaeeiioouu"
 NULL_TEXT = "null"
 COUNTY_RECODES = {"Val d'Aran": "Aran"}
 
-# --- Fixed values: landing file names ---
-REGISTER_FILE_GLOB = "[0-9]" * 8 + ".json"
+# --- Fixed values: landing file names; page offsets have eight digits, more where they need them ---
+REGISTER_FILE_GLOB = "{" + ",".join("[0-9]" * digits for digits in range(8, 20)) + "}.json"
 CENSUS_FILE_GLOB = "[0-9]" * 4 + ".json"
 
 # --- Fixed values: service types counted in the capacity mart ---

@@ -4,9 +4,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Spark type -> the JSON types (of ``schema_of_variant``) it may be read from
+_JSON_TYPES = {
+    "string": ("STRING",),
+    "boolean": ("BOOLEAN",),
+    "int": ("BIGINT",),
+    "bigint": ("BIGINT",),
+    "double": ("BIGINT", "DECIMAL", "DOUBLE"),
+}
+
+
 def json_path(c: Column, path: str, as_type: str = "string") -> Column:
-    """The value at ``path`` of a JSON text column; a value of the wrong type is an error."""
-    return F.get_json_object(c, path).cast(as_type)
+    """The value at ``path`` of a JSON text column.
+
+    A missing value and JSON null are NULL. A value of another JSON type than ``as_type`` (a quoted
+    number for instance) and text that is no JSON fail the job, in any ANSI mode.
+    """
+    found = F.variant_get(F.parse_json(c), path, "variant")
+    kind = F.regexp_replace(F.schema_of_variant(found), r"\(.*", "")
+    wrong = F.raise_error(F.concat(F.lit(f"{path} is no {as_type}: "), c)).cast(as_type)
+    return F.when(found.isNull() | F.is_variant_null(found), F.lit(None).cast(as_type)).when(
+        kind.isin(*_JSON_TYPES[as_type]), F.variant_get(F.parse_json(c), path, as_type)
+    ).otherwise(wrong)
 
 
 def member_codes(index: Column) -> Column:
@@ -42,5 +61,5 @@ def switch_layer(path: Column, source: str, target: str) -> Column:
 
 
 def page_file_name(offset: Column, digits: int = 8) -> Column:
-    """Zero-padded file name of the landing page that starts at ``offset``."""
-    return F.concat(F.lpad(offset.cast("string"), digits, "0"), F.lit(".json"))
+    """File name of the landing page that starts at ``offset``: zero-padded, never cut."""
+    return F.format_string(f"%0{digits}d.json", offset.cast("bigint"))

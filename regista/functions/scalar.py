@@ -58,20 +58,37 @@ def zero_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
+#: from here on a double has no fraction, and adding a half to it may round up
+_WHOLE = float(2**53)
+
+
+def _floored(c: Column) -> Column:
+    """The floor as a double; ``F.floor`` goes through 64 bits and would stop at 2^63."""
+    return F.when((F.abs(c) < F.lit(_WHOLE)) & ~F.isnan(c), F.floor(c).cast("double")).otherwise(c)
+
+
 def round_half_up(c: Column) -> Column:
-    """Rounds to an integer, half toward plus infinity, as browsers do."""
-    return F.floor(c.cast("double") + F.lit(0.5)).cast("bigint")
+    """Rounds to an integer, half toward plus infinity, as browsers do; beyond 64 bits is an error."""
+    value = c.cast("double")
+    rounded = F.when(F.abs(value) < F.lit(_WHOLE), F.floor(value + F.lit(0.5)).cast("double")).otherwise(value)
+    too_large = F.raise_error(F.concat(F.lit("no 64-bit integer: "), value.cast("string"))).cast("bigint")
+    return F.when(value.isNull(), F.lit(None).cast("bigint")).when(
+        F.abs(rounded) < F.lit(float(2**63)), rounded.cast("bigint")
+    ).otherwise(too_large)
 
 
 def round_places(c: Column, places: int = 2) -> Column:
     """Rounds half away from zero on the scaled double.
 
     ``F.round`` works on the decimal text of the double, so 1.005 would give 1.01; the analytic
-    database the serving tables come from gives 1.0.
+    database the serving tables come from gives 1.0. A value too large to have such decimals,
+    infinity and NaN stay as they are.
     """
     scale = float(10**places)
     value = c.cast("double")
-    return F.signum(value) * F.floor(F.abs(value) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scaled = F.abs(value) * F.lit(scale)
+    rounded = F.signum(value) * F.floor(scaled + F.lit(0.5)) / F.lit(scale)
+    return F.when((scaled < F.lit(_WHOLE)) | value.isNull(), rounded).otherwise(value)
 
 
 def percent_ratio(part: Column, whole: Column) -> Column:
@@ -82,7 +99,7 @@ def percent_ratio(part: Column, whole: Column) -> Column:
 def one_decimal_percent(part: Column, whole: Column) -> Column:
     """``part`` in percent of ``whole`` with one decimal, half toward plus infinity."""
     permille = F.try_divide(part.cast("double") * F.lit(1000.0), whole.cast("double"))
-    return F.floor(permille + F.lit(0.5)) / F.lit(10.0)
+    return F.when(F.abs(permille) < F.lit(_WHOLE), _floored(permille + F.lit(0.5))).otherwise(permille) / F.lit(10.0)
 
 
 def bed_deficit(elderly: Column, places: Column, target: float = COVERAGE_TARGET) -> Column:

@@ -60,18 +60,33 @@ def series_sum(df: DataFrame, series: Sequence[str], year: str, measure: str) ->
     return df.groupBy(*series, year).agg(F.sum(F.col(measure).cast("bigint")).alias(measure))
 
 
-def distinct_list(df: DataFrame, column: str) -> DataFrame:
+#: most values :func:`distinct_list` gathers; more are an error
+LISTED_VALUES = 100_000
+
+
+def distinct_list(df: DataFrame, column: str, most: int = LISTED_VALUES) -> DataFrame:
     """The distinct values as one sorted array; for columns of few values, such as years.
 
     Values are made distinct before they are gathered, so the array holds each one once and no
-    task ever sees the repeated rows.
+    task ever sees the repeated rows. They are counted first: more than ``most`` fail the job
+    before anything is gathered.
     """
-    return df.select(column).distinct().agg(F.array_sort(F.collect_list(column)).alias("values"))
+    values = df.select(column).distinct()
+    counted = values.agg(F.count("*").alias("n"))
+    too_many = F.raise_error(F.concat(F.lit(f"{column} has more than {most} distinct values: "), F.col("n").cast("string")))
+    checked = counted.select(F.when(F.col("n") > most, too_many.cast("boolean")).otherwise(True).alias("ok"))
+    return values.where(checked.scalar()).agg(F.array_sort(F.collect_list(column)).alias("values"))
 
 
 def all_match(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
-    """Per column, whether every non-NULL value contains its pattern: one pass, one row per column."""
-    checks = [F.bool_and(F.col(c).rlike(p)).alias(f"m{i}") for i, (c, p) in enumerate(patterns.items())]
+    """Per column, whether every non-NULL value contains its pattern: one pass, one row per column.
+
+    A column without values has none that fails, so it matches.
+    """
+    checks = [
+        F.coalesce(F.bool_and(F.col(c).rlike(p)), F.lit(True)).alias(f"m{i}")
+        for i, (c, p) in enumerate(patterns.items())
+    ]
     rows = F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("pattern"), F.col(f"m{i}").alias("matches"))
         for i, (c, p) in enumerate(patterns.items())

@@ -7,7 +7,6 @@ from regista.functions.document import array_product, member_codes
 from regista.functions.scalar import trunc_to_long
 
 # --- Fixed values: position of the two measures of a territory in the value array ---
-MEASURES = 2
 ELDERLY_POSITION = 0
 TOTAL_POSITION = 1
 
@@ -20,12 +19,22 @@ def _single_year(codes: Column) -> Column:
 def decode_cube(size: Column, codes: Column, values: Column) -> Column:
     """array of struct(code, first, second): one entry per territory without the last, the total.
 
-    The number of territories comes from the sizes: their product over two measures, less one.
+    The measures are the last dimension, so the last size is their number and the stride of a
+    territory. A value array that is not as long as the sizes say, another number of codes than
+    territories and fewer than two measures fail the job; NULL measures are JSON nulls only.
     """
-    territories = (array_product(size) / F.lit(MEASURES) - F.lit(1)).cast("int")
-    # a cube whose value array is shorter than its sizes say gives NULL measures
+    measures = F.element_at(size, -1).cast("int")
+    cells = array_product(size)
+    territories = F.when(
+        (measures > TOTAL_POSITION) & (F.array_size(values) == cells) & (F.array_size(codes) * measures == cells),
+        F.array_size(codes) - 1,
+    ).otherwise(F.raise_error(F.concat(
+        F.lit("cube of sizes "), F.to_json(size), F.lit(" has "), F.array_size(values).cast("string"),
+        F.lit(" values and "), F.array_size(codes).cast("string"), F.lit(" codes"),
+    )).cast("int"))
+
     def entry(code: Column, position: Column) -> Column:
-        at = position * F.lit(MEASURES)
+        at = position * measures
         return F.struct(
             code.alias("code"),
             F.get(values, at + F.lit(ELDERLY_POSITION)).alias("first"),

@@ -7,10 +7,7 @@ from regista.fixed_values import BOUNDARY_LEVELS, DEFAULT_SHAPE_TYPE, SHAPE_TYPE
 from regista.functions.document import zip_fields
 from regista.functions.geodesy import STEPS, reproject_points
 from regista.functions.scalar import round_places
-
-#: record numbers per numbering block
-BLOCK = 1 << 16
-
+from regista.workspace import settle
 
 def parts_to_rings(parts: Column, points: Column) -> Column:
     """The flat point array cut at the part offsets; the last part runs to the end."""
@@ -54,25 +51,40 @@ def reproject_rows(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     return out
 
 
-def running_id(df: DataFrame, record_no: str, name: str = "id", block: int = BLOCK) -> DataFrame:
-    """0, 1, 2, … in the order of the unique integer ``record_no``, as one global sequence.
+def numbered_keys(df: DataFrame, key: str, name: str = "id") -> DataFrame:
+    """(key, name): the integer keys of ``df`` numbered 0, 1, 2, … in their order.
 
-    Rows are numbered within blocks of record numbers, and only the blocks' row counts go
-    through a window over the whole table. A block holds at most ``block`` rows.
+    Only the keys are sorted, by range, and written with the number of their range partition; a
+    partition's rows are then numbered by themselves, and the rows before it come from one count
+    for each partition. Equal keys are numbered in any order; a NULL key fails the job.
     """
-    blocked = df.withColumn("__block", F.floor(F.col(record_no) / F.lit(block)))
-    counts = blocked.groupBy("__block").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(
-        Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    checked = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"{key} is NULL")).cast("bigint")).otherwise(F.col(key))
+    ranged = settle(
+        df.select(checked.alias("__key")).repartitionByRange("__key").select(
+            "__key", F.spark_partition_id().alias("__range"))
     )
-    offsets = counts.select("__block", F.coalesce(before, F.lit(0)).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__block").orderBy(record_no))
-    numbered = blocked.withColumn("__row", inside).join(offsets, "__block")
-    return numbered.withColumn(name, F.col("__before") + F.col("__row") - 1).drop(
-        "__block", "__row", "__before"
+    counts = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("__range", F.coalesce(before, F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy("__key"))
+    return ranged.withColumn("__row", inside).join(offsets, "__range").select(
+        "__key", (F.col("__before") + F.col("__row") - 1).alias(name)
     )
 
 
+def running_id(df: DataFrame, record_no: str, name: str = "id") -> DataFrame:
+    """0, 1, 2, … in the order of the unique integer ``record_no``, as one global sequence.
+
+    The rows themselves move once, to meet their number by ``record_no``. NULL or repeated record
+    numbers fail the job.
+    """
+    numbers = numbered_keys(df, record_no, name)
+    once = numbers.groupBy("__key").agg(F.min(name).alias(name), F.count("*").alias("__times"))
+    repeated = F.raise_error(F.concat(F.lit(f"{record_no} is repeated: "), F.col("__key").cast("string"))).cast("bigint")
+    single = once.select("__key", F.when(F.col("__times") == 1, F.col(name)).otherwise(repeated).alias(name))
+    return df.join(single, F.col(record_no) == F.col("__key")).drop("__key")
+
+
 def boundary_features(shapes: DataFrame, level: str, digits: int | None = None) -> DataFrame:
     """Shape records to features: (id, <id property>, geometry_type, feature).
 

@@ -3,35 +3,36 @@
 The best match of a name depends only on its county and its text, so each distinct (county, text)
 pair is matched once and joined back to the rows. Pairs with equal token sets share one search.
 
-No name is compared with all names of its county. The overlap of two token sets is the size of
-their largest common subset, so both sides list their subsets and meet on (county, subset); the
-catalog side is first reduced to one row per subset holding its smallest code. A name then meets
-at most 2^k rows however many official names share its tokens. The empty subset gives names that
-share nothing the county's smallest code. Names with more tokens than are worth listing meet on
-single tokens instead and their shared tokens are counted, which is exact for any length.
+No name is compared with all names of its county. A token is frequent in a county if more than a
+fixed number of official names there hold it. A pair that shares an infrequent token meets on it,
+and as each such token has a bounded list, a name meets a bounded number of candidates. Any other
+pair shares frequent tokens only: official names are reduced to their sets of frequent tokens, one
+row per county and set with its smallest code, and each distinct set of the wanted names is scored
+against these. The better of the two is the best match, whatever the length of a name.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regista.functions.text import split_tokens, token_key
 
-#: token sets up to this size list their subsets (at most 1024 each)
-LISTED_TOKENS = 10
+#: official names of a county that may hold a token before it counts as frequent there
+FREQUENT = 32
 
 
-def _subsets(tokens: Column, listed: int) -> Column:
-    """Keys of all subsets of a sorted token set; only the empty one above ``listed`` tokens."""
-    numbers = F.sequence(F.lit(0), F.pow(F.lit(2.0), F.least(F.array_size(tokens), F.lit(listed))).cast("int") - 1)
-    every = F.transform(
-        numbers,
-        lambda number: F.array_join(
-            F.filter(tokens, lambda _, i: F.getbit(number, i) == 1), " "
-        ),
+def _frequent_sets(names: DataFrame, key: str, frequent: DataFrame) -> DataFrame:
+    """``names`` with ``frequent_tokens``: their tokens that are frequent in their county, sorted."""
+    held = (
+        names.select("county", key, F.explode("tokens").alias("token"))
+        .join(frequent, ["county", "token"])
+        .groupBy("county", key)
+        .agg(F.array_sort(F.collect_set("token")).alias("frequent_tokens"))
+    )
+    return names.join(held, ["county", key], "left").withColumn(
+        "frequent_tokens", F.coalesce("frequent_tokens", F.array().cast("array<string>"))
     )
-    return F.when(F.array_size(tokens) <= listed, every).otherwise(F.array(F.lit("")))
 
 
 def match_places(
@@ -43,7 +44,7 @@ def match_places(
     catalog_name: str = "nom",
     code: str = "codi",
     carry: Sequence[str] = ("codi_comarca",),
-    listed: int = LISTED_TOKENS,
+    frequent: int = FREQUENT,
 ) -> DataFrame:
     """(county, place, code, carried columns, tokens_similar), one row per distinct pair.
 
@@ -76,22 +77,44 @@ def match_places(
         .withColumn("tokens", split_tokens(F.col("name_key")))
     )
 
-    by_subset = (
-        official.select("county", F.explode(_subsets(F.col("tokens"), listed)).alias("subset"), "best")
-        .groupBy("county", "subset")
+    tokens = official.select("county", "name_key", F.explode("tokens").alias("token"))
+    spread = tokens.groupBy("county", "token").agg(F.count("*").alias("names"))
+
+    # pairs that share an infrequent token, scored over all their tokens
+    rare = tokens.join(spread.where(F.col("names") <= frequent), ["county", "token"]).drop("names")
+    candidates = (
+        wanted.select("county", "place_key", F.explode("tokens").alias("token"))
+        .join(rare, ["county", "token"])
+        .select("county", "place_key", "name_key")
+        .distinct()
+    )
+    met = (
+        candidates.join(wanted.withColumnRenamed("tokens", "place_tokens"), ["county", "place_key"])
+        .join(official, ["county", "name_key"])
+        .select("county", "place_key", "best",
+                F.size(F.array_intersect("place_tokens", "tokens")).alias("overlap"))
+    )
+
+    # all other pairs share frequent tokens at most
+    common = spread.where(F.col("names") > frequent).select("county", "token")
+    sets = (
+        _frequent_sets(official, "name_key", common)
+        .groupBy("county", F.col("frequent_tokens").alias("held"))
         .agg(F.min("best").alias("best"))
     )
-    listed_pairs = (
-        wanted.select("county", "place_key", F.explode(_subsets(F.col("tokens"), listed)).alias("subset"))
-        .join(by_subset, ["county", "subset"])
-        .select("county", "place_key", F.array_size(split_tokens(F.col("subset"))).alias("overlap"), "best")
+    seeking = _frequent_sets(wanted, "place_key", common)
+    by_set = (
+        seeking.select("county", "frequent_tokens").distinct().join(sets, "county")
+        .groupBy("county", "frequent_tokens")
+        .agg(F.min(F.struct((-F.size(F.array_intersect("frequent_tokens", "held"))).alias("rank"), "best")).alias("top"))
     )
+    by_frequent = seeking.join(by_set, ["county", "frequent_tokens"]).select("county", "place_key", "top")
 
-    long_pairs = _counted_pairs(wanted, official, listed)
     top = (
-        listed_pairs.unionByName(long_pairs)
+        met.select("county", "place_key", F.struct((-F.col("overlap")).alias("rank"), "best").alias("top"))
+        .unionByName(by_frequent)
         .groupBy("county", "place_key")
-        .agg(F.min(F.struct((-F.col("overlap")).alias("rank"), "best")).alias("top"))
+        .agg(F.min("top").alias("top"))
     )
     return pairs.join(top, ["county", "place_key"]).select(
         F.col("county").alias(county),
@@ -102,27 +125,6 @@ def match_places(
     )
 
 
-def _counted_pairs(wanted: DataFrame, official: DataFrame, listed: int) -> DataFrame:
-    """Overlap of pairs with a side above ``listed`` tokens, by counting shared tokens.
-
-    A long name looks at all official names that share a token, a short one only at long ones.
-    """
-    is_long = F.array_size("tokens") > listed
-    seeks_long = F.when(is_long, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
-    left = wanted.select("county", "place_key", "tokens", F.explode(seeks_long).alias("long")).select(
-        "county", "place_key", "long", F.explode("tokens").alias("token")
-    )
-    right = official.select(
-        "county", "name_key", "best", is_long.alias("long"), F.explode("tokens").alias("token")
-    )
-    return (
-        left.join(right, ["county", "token", "long"])
-        .groupBy("county", "place_key", "name_key", "best")
-        .agg(F.count("*").cast("int").alias("overlap"))
-        .select("county", "place_key", "overlap", "best")
-    )
-
-
 def attach_places(
     rows: DataFrame, matches: DataFrame, county: str = "comarca", place: str = "municipi"
 ) -> DataFrame:

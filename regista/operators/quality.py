@@ -1,6 +1,6 @@
 """Data-quality reports and the checks that stop a run."""
 
-from collections.abc import Mapping
+import warnings
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from regista.fixed_values import MINIMUM_EXPECTED_ROWS
 from regista.functions.document import member_codes
 from regista.functions.text import strip_quotes
-from regista.operators.aggregate import all_match
 from regista.operators.joins import unmapped_values
+from regista.workspace import run_folder
 
 
 class DataQualityError(ValueError):
@@ -38,11 +38,18 @@ def mapping_violations(
 
 
 def require_no_violations(violations: DataFrame, shown: int = 20) -> None:
-    """Fails with the number of violations and the first few of them."""
-    count = violations.count()
+    """Writes all violations as a table; if there are any, fails with their number and its place.
+
+    The message also quotes the first ``shown`` in order; the table has every one of them.
+    """
+    spark = violations.sparkSession
+    path = run_folder(spark, "violations")
+    violations.write.parquet(path)
+    written = spark.read.schema(violations.schema).parquet(path)
+    count = written.count()
     if count:
-        examples = ", ".join(str(tuple(r)) for r in violations.take(shown))
-        raise DataQualityError(f"{count} unmapped values: {examples}")
+        examples = ", ".join(str(tuple(r)) for r in written.orderBy(*written.columns).limit(shown).collect())
+        raise DataQualityError(f"{count} unmapped values, all of them in {path}: {examples}")
 
 
 def distinct_preserved(
@@ -83,17 +90,30 @@ def row_count_status(df: DataFrame, minimum: int = MINIMUM_EXPECTED_ROWS) -> Dat
     return df.agg(F.count("*").alias("row_count")).withColumn("status", status)
 
 
+def require_minimum(df: DataFrame, what: str, minimum: int = MINIMUM_EXPECTED_ROWS) -> str:
+    """The status of the row-count rule: no rows stop the run, few rows are only reported."""
+    row = row_count_status(df, minimum).first()
+    if row["status"] == "error":
+        raise DataQualityError(f"{what} has no rows")
+    if row["status"] == "warn":
+        warnings.warn(f"{what} has {row['row_count']} rows, fewer than {minimum}", stacklevel=2)
+    return row["status"]
+
+
+def require_members(expected: DataFrame, landed: DataFrame, column: str) -> None:
+    """Fails if an announced member (for instance a census year) did not land."""
+    missing = missing_members(expected, landed, column)
+    row = missing.agg(F.count("*").alias("n"), F.min(column).alias("first"), F.max(column).alias("last")).first()
+    if row["n"]:
+        raise DataQualityError(f"{row['n']} values of {column} did not land, {row['first']} to {row['last']}")
+
+
 def require_rows(df: DataFrame, what: str = "result") -> None:
     """An empty dataset is an error."""
     if df.isEmpty():
         raise DataQualityError(f"{what} has no rows")
 
 
-def pattern_profile(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
-    """(column_name, pattern, matches) for every profiled column, in one pass."""
-    return all_match(df, patterns)
-
-
 def multi_member_dimensions(cubes: DataFrame, dimension: str = "YEAR") -> DataFrame:
     """Cubes whose ``dimension`` does not have exactly one member."""
     codes = member_codes(F.col(f"dimension.{dimension}.category.index"))

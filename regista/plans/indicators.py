@@ -1,9 +1,11 @@
 """Serving tables to the figures shown on the dashboard."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regista.fixed_values import RESIDENCE_TYPE
+from regista.fixed_values import CALENDAR_FIRST_YEAR, CALENDAR_LAST_YEAR, RESIDENCE_TYPE
 from regista.functions.scalar import (
     bed_deficit,
     deficit_label,
@@ -13,7 +15,7 @@ from regista.functions.scalar import (
     thresholds_around,
 )
 from regista.operators.aggregate import nearest_first, series_sum
-from regista.operators.joins import value_difference
+from regista.operators.joins import lookup, value_difference
 from regista.operators.panel import running_sum
 
 
@@ -153,11 +155,39 @@ def county_population_trend(county_population: DataFrame, panel: DataFrame) -> D
     )
 
 
-def available_services(panel: DataFrame) -> DataFrame:
-    """Services with places, per county."""
-    return panel.where(F.col("total_capacit") > 0).select("comarca_id", "service_type_id").distinct()
+def _present(mart: DataFrame, municipals: DataFrame, keys: list[str], first: int, last: int) -> DataFrame:
+    """Distinct (county, keys) with places in a calendar year, straight from the sparse mart rows.
+
+    The panel has a row exactly for what has places in some calendar year.
+    """
+    named = ("municipal_id", "service_type_id", "service_qualification_id")
+    active = mart.where(
+        (F.col("total_capacit") > 0) & F.col("year").between(first, last)
+        & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in named])
+    ).select("municipal_id", *keys).distinct()
+    counties = municipals.select(
+        F.col("codi").alias("municipal_id"), F.col("codi_comarca").alias("comarca_id")
+    ).distinct()
+    return active.join(counties, "municipal_id").select("comarca_id", *keys).distinct()
+
+
+def available_services(
+    mart: DataFrame, municipals: DataFrame, service_types: DataFrame,
+    first: int = CALENDAR_FIRST_YEAR, last: int = CALENDAR_LAST_YEAR,
+) -> DataFrame:
+    """Services with places, per county, with their description (NULL outside the catalog)."""
+    found = _present(mart, municipals, ["service_type_id"], first, last)
+    return _described(found, service_types, "service_type")
+
+
+def available_initiatives(
+    mart: DataFrame, municipals: DataFrame, qualifications: DataFrame,
+    first: int = CALENDAR_FIRST_YEAR, last: int = CALENDAR_LAST_YEAR,
+) -> DataFrame:
+    """Initiatives present, per county and service, with their description."""
+    found = _present(mart, municipals, ["service_type_id", "service_qualification_id"], first, last)
+    return _described(found, qualifications, "service_qualification")
 
 
-def available_initiatives(panel: DataFrame) -> DataFrame:
-    """Initiatives present, per county and service."""
-    return panel.select("comarca_id", "service_type_id", "service_qualification_id").distinct()
+def _described(found: DataFrame, catalog: DataFrame, name: str) -> DataFrame:
+    return lookup(found, catalog, f"{name}_id", f"{name}_id", {f"{name}_description": f"{name}_description"})

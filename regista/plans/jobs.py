@@ -2,16 +2,26 @@
 
     landing/<dataset>/downloaded_date=…  ->  staging/<dataset>  ->  marts/<dataset>  ->  serving/
 
-Every job replaces what it writes, so a job that failed half-way is simply run again.
+Every job replaces what it writes, so a job that failed half-way is simply run again. A job checks
+what it is about to publish first: where a check fails, what was published before stays as it is.
+Tables settled on the way are deleted when the job ends.
 """
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from regista.fixed_values import BOUNDARY_LEVELS
+from regista.fixed_values import BOUNDARY_LEVELS, CALENDAR_FIRST_YEAR, RESIDENCE_TYPE
 from regista.operators.geometry import boundary_features
-from regista.operators.quality import require_distinct_preserved, require_rows
+from regista.operators.quality import (
+    require_distinct_preserved,
+    require_members,
+    require_minimum,
+    require_rows,
+)
 from regista.plans.marts import capacity_mart
-from regista.plans.serving import serving_tables
+from regista.plans.serving import MEASURE_TYPE, calendar_last, outside_calendar, serving_tables
 from regista.plans.staging import staging_population, staging_register
 from regista.schemas import (
     CAPACITY_MART,
@@ -24,7 +34,7 @@ from regista.schemas import (
 from regista.sources import tables
 from regista.sources.catalogs import read_latest_snapshot
 from regista.sources.landing import PARTITION, read_census_cubes, read_landing_json
-from regista.workspace import settle
+from regista.workspace import scratch, settle
 
 REGISTER = "social_services"
 CAPACITY = "social_services_by_service_municipal"
@@ -46,14 +56,15 @@ def stage_register(spark: SparkSession, base: str, catalogs: str, downloaded_dat
 
     The pages are parsed once; every later pass reads the settled columns it needs.
     """
-    raw = settle(read_landing_json(spark, f"{base}/landing/{REGISTER}/{PARTITION}={downloaded_date}"))
-    require_rows(raw, "the landing folder")
-    staged = staging_register(raw, *read_catalogs(spark, catalogs))
-    target = f"{base}/staging/{REGISTER}"
-    tables.write_partition(staged, target, PARTITION, downloaded_date)
-    written = tables.read_partition(spark, target, PARTITION, downloaded_date, STAGING_REGISTER)
-    require_distinct_preserved(raw, "registre", written, "social_service_register_id")
-    tables.append_audit(written, f"{REGISTER}/{downloaded_date}", f"{base}/audit")
+    with scratch(spark):
+        raw = settle(read_landing_json(spark, f"{base}/landing/{REGISTER}/{PARTITION}={downloaded_date}"))
+        require_minimum(raw, "the landing folder")
+        staged = settle(staging_register(raw, *read_catalogs(spark, catalogs)))
+        require_distinct_preserved(raw, "registre", staged, "social_service_register_id")
+        target = f"{base}/staging/{REGISTER}"
+        tables.write_partition(staged, target, PARTITION, downloaded_date)
+        written = tables.read_partition(spark, target, PARTITION, downloaded_date, STAGING_REGISTER)
+        tables.append_audit(written, f"{REGISTER}/{downloaded_date}", f"{base}/audit")
 
 
 def build_capacity_mart(spark: SparkSession, base: str, downloaded_date: str) -> None:
@@ -66,12 +77,20 @@ def build_capacity_mart(spark: SparkSession, base: str, downloaded_date: str) ->
     tables.append_audit(spark.read.schema(CAPACITY_MART).parquet(target), CAPACITY, f"{base}/audit")
 
 
-def build_population(spark: SparkSession, base: str) -> None:
-    """Decodes all landed census years and publishes them as they are."""
+def build_population(spark: SparkSession, base: str, announced: Iterable[int] | None = None) -> None:
+    """Decodes all landed census years and publishes them as they are.
+
+    ``announced`` names the years that must be among them.
+    """
     cubes = read_census_cubes(spark, f"{base}/landing/{CENSUS}")
     require_rows(cubes, "the census landing folder")
     staged = f"{base}/staging/{CENSUS}"
-    tables.write_parquet_snappy(staging_population(cubes), staged)
+    with scratch(spark):
+        decoded = settle(staging_population(cubes))
+        if announced is not None:
+            years = spark.createDataFrame([(int(y),) for y in announced], "year bigint")
+            require_members(years, decoded.select("year").distinct(), "year")
+        tables.write_parquet_snappy(decoded, staged)
     tables.publish_mart(spark, staged, f"{base}/marts/{CENSUS}")
     tables.append_audit(spark.read.schema(POPULATION).parquet(staged), CENSUS, f"{base}/audit")
 
@@ -89,9 +108,29 @@ def build_boundaries(shapes_by_level: dict[str, DataFrame], base: str) -> None:
         tables.publish_mart(shapes.sparkSession, staged, f"{base}/marts/{BOUNDARIES}/{level}")
 
 
-def build_serving(spark: SparkSession, base: str, catalogs: str) -> None:
-    """Derives the serving tables from the marts and writes them as JSON rows."""
+def build_serving(
+    spark: SparkSession,
+    base: str,
+    catalogs: str,
+    first: int = CALENDAR_FIRST_YEAR,
+    last: int | None = None,
+    service_type: str = RESIDENCE_TYPE,
+    measure_type: str = MEASURE_TYPE,
+) -> None:
+    """Derives the serving tables from the marts and writes them as JSON rows.
+
+    The calendar runs from ``first`` to ``last``, by default to the last year of the data. Rows
+    outside it are in no panel or coverage table; ``audit_outside_calendar`` says how many.
+    """
     population = spark.read.schema(POPULATION).parquet(f"{base}/marts/{CENSUS}")
     mart = spark.read.schema(CAPACITY_MART).parquet(f"{base}/marts/{CAPACITY}")
-    derived = serving_tables(population, mart, *read_catalogs(spark, catalogs), keep=settle)
-    tables.write_serving_json(derived, f"{base}/serving")
+    last = calendar_last(population, mart) if last is None else last
+    with scratch(spark):
+        outside_calendar(population, mart, first, last).withColumn(
+            "processed_at", F.current_timestamp()
+        ).write.mode("append").parquet(f"{base}/audit_outside_calendar")
+        derived = serving_tables(
+            population, mart, *read_catalogs(spark, catalogs), keep=settle, first=first, last=last,
+            service_type=service_type, measure_type=measure_type,
+        )
+        tables.write_serving_json(derived, f"{base}/serving")

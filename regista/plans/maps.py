@@ -31,11 +31,11 @@ def county_map(
         joined, place_labels(municipals, "codi_comarca", "nom_comarca"),
         "comarca_id", "id", {"label": "label"},
     )
-    return named.withColumns({
-        "elderly_class": threshold_class(F.col("latest_value"), thresholds_around(elderly_center)),
+    return named.withColumn("__center", elderly_center).withColumns({
+        "elderly_class": threshold_class(F.col("latest_value"), thresholds_around(F.col("__center"))),
         "coverage_class": threshold_class(F.col("coverage_ratio"), COVERAGE_THRESHOLDS),
         "variation_shown": round_half_up(F.col("variation")),
-    }).withColumnRenamed("latest_value", "elderly_pct")
+    }).drop("__center").withColumnRenamed("latest_value", "elderly_pct")
 
 
 def municipal_map(
@@ -50,7 +50,7 @@ def municipal_map(
     named = lookup(
         joined, place_labels(municipals, "codi", "nom"), "municipal_id", "id", {"label": "label"}
     )
-    return named.withColumns({
-        "elderly_class": threshold_class(F.col("elderly_pct"), thresholds_around(elderly_center)),
+    return named.withColumn("__center", elderly_center).withColumns({
+        "elderly_class": threshold_class(F.col("elderly_pct"), thresholds_around(F.col("__center"))),
         "coverage_class": threshold_class(F.col("coverage_ratio"), COVERAGE_THRESHOLDS),
-    })
+    }).drop("__center")

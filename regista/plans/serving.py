@@ -143,14 +143,31 @@ def comarca_coverage(
     )
 
 
-def serving_population(population: DataFrame) -> DataFrame:
+def serving_population(population: DataFrame, measure_type: str = MEASURE_TYPE) -> DataFrame:
     """The census table with integer measures."""
     return population.select(
         "municipal_code",
-        *[F.col(c).cast("int").alias(c) for c in ("population_ge65", "population", "year")],
+        *[F.col(c).cast(measure_type).alias(c) for c in ("population_ge65", "population")],
+        F.col("year").cast("int").alias("year"),
     )
 
 
+def calendar_last(population: DataFrame, mart: DataFrame) -> int:
+    """The last year of the data, at least the calendar's own."""
+    years = population.select(F.col("year").cast("int")).unionAll(mart.select(F.col("year").cast("int")))
+    return years.agg(F.greatest(F.max("year"), F.lit(CALENDAR_LAST_YEAR)).alias("y")).first()["y"]
+
+
+def outside_calendar(population: DataFrame, mart: DataFrame, first: int, last: int) -> DataFrame:
+    """(dataset, year, row_count) of the years with rows that the calendar leaves out."""
+    def of(name: str, df: DataFrame) -> DataFrame:
+        return df.where(~F.col("year").between(first, last)).groupBy(F.col("year").cast("int").alias("year")).agg(
+            F.count("*").alias("row_count")
+        ).select(F.lit(name).alias("dataset"), "year", "row_count")
+
+    return of("population", population).unionByName(of("mart", mart))
+
+
 def serving_tables(
     population: DataFrame,
     mart: DataFrame,
@@ -158,21 +175,31 @@ def serving_tables(
     service_types: DataFrame,
     qualifications: DataFrame,
     keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    first: int = CALENDAR_FIRST_YEAR,
+    last: int | None = None,
+    service_type: str = RESIDENCE_TYPE,
+    measure_type: str = MEASURE_TYPE,
 ) -> dict[str, DataFrame]:
     """The eight serving tables by name.
 
-    The catalogs given should each be one snapshot. ``comarca_population`` also feeds the county
+    The calendar ends with the last year of the data unless ``last`` is given. The catalogs given should each be one snapshot. ``comarca_population`` also feeds the county
     coverage; ``keep`` (such as :func:`regista.workspace.settle`) saves computing it twice when
     all tables are written in one run.
     """
-    by_county = keep(comarca_population(population, municipals))
+    last = calendar_last(population, mart) if last is None else last
+    by_county = keep(comarca_population(population, municipals, measure_type))
+    span = (first, last)
     return {
-        "social_services_empty_last_year": active_service_panel(mart, municipals),
-        "municipal_coverage": municipal_coverage(population, mart, municipals),
+        "social_services_empty_last_year": active_service_panel(mart, municipals, *span, measure_type),
+        "municipal_coverage": municipal_coverage(
+            population, mart, municipals, *span, service_type, measure_type
+        ),
         "comarca_population": by_county,
-        "comarca_coverage": comarca_coverage(by_county, mart, municipals),
+        "comarca_coverage": comarca_coverage(
+            by_county, mart, municipals, *span, service_type, measure_type
+        ),
         "municipal": municipals,
         "service_type": service_types,
         "service_qualification": qualifications,
-        "population": serving_population(population),
+        "population": serving_population(population, measure_type),
     }

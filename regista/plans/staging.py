@@ -10,7 +10,7 @@ from regista.operators.cube import census_rows
 from regista.operators.joins import lookup
 from regista.operators.matching import attach_places, match_places
 from regista.operators.project import clean_register
-from regista.operators.quality import mapping_violations, require_no_violations
+from regista.operators.quality import mapping_violations, require_minimum, require_no_violations
 from regista.sources.catalogs import catalog_from_records, literal_catalog, write_snapshot
 from regista.workspace import broadcast_if_small, settle
 
@@ -85,8 +85,11 @@ def staging_population(cubes: DataFrame) -> DataFrame:
 
 def build_catalogs(
     municipal_records: DataFrame, folder: str, snapshot_ts: str, created_at: str | None = None
-) -> None:
-    """Writes a snapshot of the three catalogs under ``folder``."""
+) -> dict[str, str]:
+    """Writes a snapshot of the three catalogs under ``folder``; returns each one's row-count status.
+
+    A catalog without rows stops the run before any snapshot is written.
+    """
     spark = municipal_records.sparkSession
     catalogs = {
         "municipals": catalog_from_records(municipal_records, created_at=created_at),
@@ -98,5 +101,7 @@ def build_catalogs(
             "service_qualification_description", created_at,
         ),
     }
+    status = {name: require_minimum(catalog, f"catalog {name}") for name, catalog in catalogs.items()}
     for name, catalog in catalogs.items():
         write_snapshot(catalog, f"{folder}/{name}", snapshot_ts)
+    return status

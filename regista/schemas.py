@@ -13,11 +13,6 @@ REGISTER_COLUMNS = (
 )
 REGISTER_LANDING = T.StructType(_strings(*REGISTER_COLUMNS))
 
-#: register columns read for format profiling
-REGISTER_PROFILE = T.StructType(
-    _strings("registre", "inscripcio", "capacitat", "cp", "nif", "qualificacio")
-)
-
 MUNICIPALS = T.StructType(_strings("codi", "nom", "codi_comarca", "nom_comarca", "created_at"))
 SERVICE_TYPE = T.StructType(
     _strings("service_type_id", "service_type_description", "created_at")

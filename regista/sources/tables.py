@@ -15,16 +15,17 @@ def write_parquet_snappy(df: DataFrame, path: str) -> None:
 def write_partition(df: DataFrame, base: str, key: str, value: str | None = None) -> None:
     """Writes ``key=value`` partitions, replacing only those present in ``df``.
 
+    With a ``value``, ``df`` is that partition and takes its place as a whole, also if it is empty.
     Writing a partition a second time gives the same table, so a failed run can be repeated.
     Rows are gathered by partition to keep files few; the rebalance splits a partition that holds
     much of the data over several tasks.
     """
-    if value is None:
-        df = df.hint("rebalance", key)
-    else:
-        df = df.withColumn(key, F.lit(value))
+    if value is not None:
+        # a dynamic overwrite would leave the old rows where there are no new ones
+        df.write.option("compression", "snappy").mode("overwrite").parquet(f"{base}/{key}={value}")
+        return
     (
-        df.write.partitionBy(key)
+        df.hint("rebalance", key).write.partitionBy(key)
         .option("compression", "snappy")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")

@@ -39,7 +39,7 @@ def census_cubes(t: Tables, second_year_for_label: int | None = None) -> DataFra
 
     return t.embeddings.select(
         "vec_id",
-        F.array(F.lit(2).cast("bigint"), pairs.cast("bigint")).alias("size"),
+        F.array(F.lit(1).cast("bigint"), pairs.cast("bigint"), F.lit(2).cast("bigint")).alias("size"),
         F.struct(
             members_struct(F.to_json(years)).alias("YEAR"), members_struct(index).alias("MUN")
         ).alias("dimension"),

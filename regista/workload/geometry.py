@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regista.functions import geodesy
 from regista.functions.scalar import round_places
 from regista.operators import geometry
 from regista.operators.joins import members_only
@@ -69,25 +68,33 @@ def shape_type_name(t: Tables) -> DataFrame:
     )
 
 
-def _series(terms) -> str:
-    return " ".join(terms)
-
-
-_RADIUS = repr(geodesy.SCALE_FACTOR * geodesy.RECTIFYING_RADIUS) + "::DOUBLE"
+# --- Fixed values: metres of a radian on the grid (UTM scale times the GRS80 rectifying radius), and
+# --- the Krüger series for GRS80, written out so that the SQL does not follow the code it checks ---
 LONLAT_SQL = f"""metres AS (
   SELECT vec_id, CAST(i AS INTEGER) AS point_no, {_x_sql("i")} AS x, {_y_sql("i")} AS y
   FROM embeddings, generate_series(0, 31) g(i)),
-grid AS (SELECT *, y / {_RADIUS} AS xi, (x - 500000.0::DOUBLE) / {_RADIUS} AS eta FROM metres),
+grid AS (
+  SELECT *, y / 6364902.16611274::DOUBLE AS xi, (x - 500000.0::DOUBLE) / 6364902.16611274::DOUBLE AS eta
+  FROM metres),
 straight AS (
   SELECT *,
-    xi {_series(f"- {b!r}::DOUBLE * sin({2.0 * j} * xi) * cosh({2.0 * j} * eta)" for j, b in enumerate(geodesy.BETA, 1))} AS xi2,
-    eta {_series(f"- {b!r}::DOUBLE * cos({2.0 * j} * xi) * sinh({2.0 * j} * eta)" for j, b in enumerate(geodesy.BETA, 1))} AS eta2
+    xi - 0.000837732168164144::DOUBLE * sin(2.0 * xi) * cosh(2.0 * eta)
+       - 5.905869626082731e-08::DOUBLE * sin(4.0 * xi) * cosh(4.0 * eta)
+       - 1.6734889049883464e-10::DOUBLE * sin(6.0 * xi) * cosh(6.0 * eta)
+       - 2.1677378055967573e-13::DOUBLE * sin(8.0 * xi) * cosh(8.0 * eta) AS xi2,
+    eta - 0.000837732168164144::DOUBLE * cos(2.0 * xi) * sinh(2.0 * eta)
+        - 5.905869626082731e-08::DOUBLE * cos(4.0 * xi) * sinh(4.0 * eta)
+        - 1.6734889049883464e-10::DOUBLE * cos(6.0 * xi) * sinh(6.0 * eta)
+        - 2.1677378055967573e-13::DOUBLE * cos(8.0 * xi) * sinh(8.0 * eta) AS eta2
   FROM grid),
 sphere AS (
   SELECT *, asin(sin(xi2) / cosh(eta2)) AS chi, atan2(sinh(eta2), cos(xi2)) AS dlon FROM straight),
 lonlat AS (
   SELECT vec_id, point_no, round(3.0 + degrees(dlon), 6) AS lon,
-    round(degrees(chi {_series(f"+ {d!r}::DOUBLE * sin({2.0 * j} * chi)" for j, d in enumerate(geodesy.DELTA, 1))}), 6) AS lat
+    round(degrees(chi + 0.0033565514855966932::DOUBLE * sin(2.0 * chi)
+                      + 6.571873148458866e-06::DOUBLE * sin(4.0 * chi)
+                      + 1.7646564264542834e-08::DOUBLE * sin(6.0 * chi)
+                      + 5.400482187759887e-11::DOUBLE * sin(8.0 * chi)), 6) AS lat
   FROM sphere)"""
 
 

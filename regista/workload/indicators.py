@@ -173,15 +173,28 @@ def county_population_trend(t: Tables) -> DataFrame:
 
 
 @query(with_ctes(MART_SQL, MUNICIPALS_SQL, PANEL_SQL, select="""
-SELECT DISTINCT comarca_id, service_type_id FROM panel WHERE total_capacit > 0"""))
+SELECT DISTINCT comarca_id, service_type_id,
+       CASE WHEN service_type_id <> 'SMALL' THEN 'Type ' || service_type_id END AS service_type_description
+FROM panel WHERE total_capacit > 0"""))
 def available_services(t: Tables) -> DataFrame:
-    return indicators.available_services(roles.panel(t, roles.town_mart(t)))
+    """With labels; the catalog lacks one type."""
+    types = t.part.select(
+        F.when(F.col("p_type") == "SMALL", F.lower("p_type")).otherwise(F.col("p_type")).alias("service_type_id"),
+        F.concat(F.lit("Type "), "p_type").alias("service_type_description"),
+    ).distinct()
+    return indicators.available_services(roles.town_mart(t), roles.municipals(t), types, roles.FIRST, roles.LAST)
 
 
 @query(with_ctes(MART_SQL, MUNICIPALS_SQL, PANEL_SQL, select="""
-SELECT DISTINCT comarca_id, service_type_id, service_qualification_id FROM panel"""))
+SELECT DISTINCT comarca_id, service_type_id, service_qualification_id,
+       'Flag ' || service_qualification_id AS service_qualification_description
+FROM panel"""))
 def available_initiatives(t: Tables) -> DataFrame:
-    return indicators.available_initiatives(roles.panel(t, roles.town_mart(t)))
+    flags = t.lineitem.select(F.col("l_returnflag").alias("service_qualification_id")).distinct().select(
+        "service_qualification_id",
+        F.concat(F.lit("Flag "), "service_qualification_id").alias("service_qualification_description"),
+    )
+    return indicators.available_initiatives(roles.town_mart(t), roles.municipals(t), flags, roles.FIRST, roles.LAST)
 
 
 def _center(figures: DataFrame) -> Column:

@@ -60,7 +60,7 @@ def _register(t: Tables) -> DataFrame:
         .alias("comarca"),
     )
     return t.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.concat(F.lit("S"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("registre"),
+        F.format_string("S%012d", F.col("l_orderkey")).alias("registre"),
         "tipologia",
         F.col("l_shipdate").cast("date").cast("string").alias("inscripcio"),
         F.when(F.col("l_linestatus") == "O", F.col("l_quantity").cast("int").cast("string"))
@@ -73,18 +73,23 @@ def _register(t: Tables) -> DataFrame:
 
 
 def _official_places(t: Tables) -> DataFrame:
-    """Parts of small size as official places, coded by part key; Brand#25 has none."""
-    county = F.when(F.col("p_brand") == "Brand#3", "Aran").otherwise(F.col("p_brand"))
-    return t.part.where((F.col("p_size") <= 10) & (F.col("p_brand") != "Brand#25")).select(
+    """Parts as official places, coded by part key.
+
+    Those of Brand#25 lie in a county of another name, those of Brand#7 are spelt backwards.
+    """
+    county = F.when(F.col("p_brand") == "Brand#3", "Aran").when(
+        F.col("p_brand") == "Brand#25", "elsewhere").otherwise(F.col("p_brand"))
+    name = F.concat_ws(" ", "p_type", F.replace("p_name", F.lit(" "), F.lit(" d'")))
+    return t.part.select(
         F.col("p_partkey").alias("codi"),
-        F.concat_ws(" ", "p_type", F.replace("p_name", F.lit(" "), F.lit(" d'"))).alias("nom"),
+        F.when(F.col("p_brand") == "Brand#7", F.reverse(name)).otherwise(name).alias("nom"),
         F.concat(F.lit("C"), "p_brand").alias("codi_comarca"),
         county.alias("nom_comarca"),
     )
 
 
 _REGISTER_SQL = """register AS (
-  SELECT 'S' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS registre, p_type AS tipologia,
+  SELECT printf('S%012d', l_orderkey) AS registre, p_type AS tipologia,
          CAST(l_shipdate AS DATE) AS inscripcio,
          CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS INTEGER) END AS capacitat,
          p_name || ', el (' || lower(p_type) || ')' AS municipi,
@@ -92,10 +97,12 @@ _REGISTER_SQL = """register AS (
          nullif(l_returnflag, 'N') AS qualificacio
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 official AS (
-  SELECT p_partkey AS codi, p_type || ' ' || replace(p_name, ' ', ' d''') AS nom,
+  SELECT p_partkey AS codi,
+         CASE WHEN p_brand = 'Brand#7' THEN reverse(p_type || ' ' || replace(p_name, ' ', ' d'''))
+              ELSE p_type || ' ' || replace(p_name, ' ', ' d''') END AS nom,
          'C' || p_brand AS codi_comarca,
-         CASE WHEN p_brand = 'Brand#3' THEN 'Aran' ELSE p_brand END AS nom_comarca
-  FROM part WHERE p_size <= 10 AND p_brand <> 'Brand#25')"""
+         CASE p_brand WHEN 'Brand#3' THEN 'Aran' WHEN 'Brand#25' THEN 'elsewhere' ELSE p_brand END AS nom_comarca
+  FROM part)"""
 
 _MATCH_SQL = f"""wanted AS (
   SELECT DISTINCT comarca, municipi, {tokens_sql("municipi")} AS tokens FROM register),

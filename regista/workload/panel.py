@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from regista.functions.scalar import zero_if_null
 from regista.operators import aggregate
 from regista.operators.dedupe import top1_per_group as keep_best
-from regista.operators.panel import calendar_grid, densify, last_known, running_sum
+from regista.operators.panel import calendar_grid, densify, hold_until_next, running_sum
 from regista.workload import roles
 from regista.workload.registry import Tables, query
 from regista.workload.roles import (
@@ -56,8 +56,16 @@ SELECT o_custkey, year, last_value(order_count IGNORE NULLS) OVER (
   AS order_count
 FROM grid LEFT JOIN yearly USING (o_custkey, year)"""))
 def forward_fill(t: Tables) -> DataFrame:
-    cells = densify(_customer_grid(t), _customer_years(t), ["o_custkey", "year"])
-    return cells.withColumn("order_count", last_known(F.col("order_count"), ["o_custkey"]))
+    """Years before a customer's first order are empty, so a NULL row stands for them."""
+    sparse = _customer_years(t).where(F.col("year") <= LAST)
+    started = t.customer.select(
+        F.col("c_custkey").alias("o_custkey"), F.lit(FIRST).alias("year"), F.lit(None).cast("bigint").alias("order_count"))
+    # the years up to FIRST are one row, that of the last of them
+    rows = sparse.select("o_custkey", F.greatest("year", F.lit(FIRST)).alias("year"), "order_count", F.col("year").alias("of"))
+    rows = rows.unionByName(started.withColumn("of", F.lit(None).cast("int"))).groupBy("o_custkey", "year").agg(
+        F.max_by("order_count", "of").alias("order_count"))
+    known = t.customer.select(F.col("c_custkey").alias("o_custkey"))
+    return hold_until_next(rows.join(known, "o_custkey", "left_semi"), ["o_custkey"], LAST)
 
 
 @query(f"""
@@ -77,20 +85,17 @@ def cumulative_capacity(t: Tables) -> DataFrame:
         F.col("l_quantity").alias("total_capacity"),
     )
     yearly = aggregate.series_sum(rows, ["s_suppkey"], "year", "total_capacity")
-    grid = calendar_grid(t.supplier.select("s_suppkey"), FIRST, LAST)
-    cells = densify(grid, yearly, ["s_suppkey", "year"])
-    total = cells.withColumn("total_capacity", running_sum(F.col("total_capacity"), ["s_suppkey"]))
-    return total.where(F.col("total_capacity").isNotNull())
+    known = yearly.where(F.col("year").between(FIRST, LAST)).join(t.supplier, "s_suppkey", "left_semi")
+    total = known.withColumn("total_capacity", running_sum(F.col("total_capacity"), ["s_suppkey"]))
+    return hold_until_next(total, ["s_suppkey"], LAST)
 
 
 @query("""
 SELECT c_custkey, CAST(coalesce(n, 0) AS BIGINT) AS order_count
-FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders
-                         WHERE o_orderstatus = 'F' GROUP BY 1) ON c_custkey = o_custkey""")
+FROM customer LEFT JOIN (SELECT 2 * o_custkey AS o_custkey, COUNT(*) AS n FROM orders
+                         GROUP BY 1) ON c_custkey = o_custkey""")
 def zero_for_missing(t: Tables) -> DataFrame:
-    counts = t.orders.where(F.col("o_orderstatus") == "F").groupBy("o_custkey").agg(
-        F.count("*").alias("n")
-    )
+    counts = t.orders.groupBy((F.col("o_custkey") * 2).alias("o_custkey")).agg(F.count("*").alias("n"))
     joined = t.customer.join(counts, F.col("c_custkey") == F.col("o_custkey"), "left")
     return joined.select("c_custkey", zero_if_null(F.col("n")).alias("order_count"))
 

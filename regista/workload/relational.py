@@ -1,6 +1,6 @@
 """Projections, joins, aggregates, unions and sorts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regista.functions.scalar import null_text_to_null, recode_value
@@ -24,6 +24,7 @@ from regista.operators.project import not_matching, rename_project, where_equals
 from regista.workload import roles
 from regista.workload.registry import Tables, query
 from regista.workload.roles import MART_SQL, POPULATION_SQL, with_ctes
+from regista.workspace import settle
 
 
 @query(with_ctes(MART_SQL, select="SELECT * FROM mart"))
@@ -109,12 +110,11 @@ def union_diagonal(t: Tables) -> DataFrame:
 
 @query("""
 SELECT DISTINCT c_custkey AS customer_key FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
+WHERE c_custkey NOT IN (SELECT 2 * o_custkey FROM orders)""")
 def set_difference(t: Tables) -> DataFrame:
-    finished = t.orders.where(F.col("o_orderstatus") == "F")
     return sets.set_difference(
         t.customer.select(F.col("c_custkey").alias("customer_key")),
-        finished.select(F.col("o_custkey").alias("customer_key")),
+        t.orders.select((F.col("o_custkey") * 2).alias("customer_key")),
         "customer_key",
     )
 
@@ -122,12 +122,13 @@ def set_difference(t: Tables) -> DataFrame:
 @query("""
 SELECT p_type AS service_type, COUNT(*) AS row_count,
        CAST(SUM(l_quantity) AS BIGINT) AS capacity
-FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) ON l_partkey = p_partkey
+FROM lineitem LEFT JOIN part ON l_partkey = 2 * p_partkey
 GROUP BY 1""")
 def dimension_left_join(t: Tables) -> DataFrame:
-    small = t.part.where(F.col("p_size") <= 25)
+    # doubled keys leave every other line without a part
+    spread = t.part.select((F.col("p_partkey") * 2).alias("p_partkey"), "p_type")
     rows = lookup(
-        t.lineitem.select("l_partkey", "l_quantity"), small, "l_partkey", "p_partkey",
+        t.lineitem.select("l_partkey", "l_quantity"), spread, "l_partkey", "p_partkey",
         {"service_type": "p_type"},
     )
     return rows.groupBy("service_type").agg(
@@ -138,10 +139,12 @@ def dimension_left_join(t: Tables) -> DataFrame:
 
 @query("""
 SELECT n_name AS county, s_suppkey AS codi, s_name AS nom
-FROM nation LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 5000) ON n_nationkey = s_nationkey""")
+FROM nation LEFT JOIN supplier ON n_nationkey = 2 * (s_nationkey // 2)""")
 def county_fanout(t: Tables) -> DataFrame:
-    rich = t.supplier.where(F.col("s_acctbal") > 5000)
-    rows = lookup(t.nation, rich, "n_nationkey", "s_nationkey", {"codi": "s_suppkey", "nom": "s_name"})
+    # odd nations have no supplier under the halved key
+    paired = t.supplier.select(
+        (F.floor(F.col("s_nationkey") / 2) * 2).alias("s_nationkey"), "s_suppkey", "s_name")
+    rows = lookup(t.nation, paired, "n_nationkey", "s_nationkey", {"codi": "s_suppkey", "nom": "s_name"})
     return rows.select(F.col("n_name").alias("county"), "codi", "nom")
 
 
@@ -180,9 +183,10 @@ def inner_join_sum_ratio(t: Tables) -> DataFrame:
 
 @query("""
 SELECT DISTINCT l_partkey AS value FROM lineitem
-WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40)""")
+WHERE l_partkey NOT IN (SELECT 2 * p_partkey FROM part)""")
 def anti_join_unmapped(t: Tables) -> DataFrame:
-    return unmapped_values(t.lineitem, "l_partkey", t.part.where(F.col("p_size") <= 40), "p_partkey")
+    doubled = t.part.select((F.col("p_partkey") * 2).alias("p_partkey"))
+    return unmapped_values(t.lineitem, "l_partkey", doubled, "p_partkey")
 
 
 @query("""
@@ -209,11 +213,11 @@ def label_lookup(t: Tables) -> DataFrame:
 @query("""
 SELECT n_nationkey AS feature_id, n_name AS feature_name, wealthy, top_balance
 FROM nation LEFT JOIN (
-  SELECT s_nationkey, COUNT(*) AS wealthy, MAX(s_acctbal) AS top_balance
-  FROM supplier WHERE s_acctbal > 8000 GROUP BY 1) ON n_nationkey = s_nationkey""")
+  SELECT 2 * s_nationkey AS s_nationkey, COUNT(*) AS wealthy, MAX(s_acctbal) AS top_balance
+  FROM supplier GROUP BY 1) ON n_nationkey = s_nationkey""")
 def attribute_to_feature(t: Tables) -> DataFrame:
     features = rename_project(t.nation, {"feature_id": "n_nationkey", "feature_name": "n_name"})
-    stats = t.supplier.where(F.col("s_acctbal") > 8000).groupBy("s_nationkey").agg(
+    stats = t.supplier.groupBy((F.col("s_nationkey") * 2).alias("s_nationkey")).agg(
         F.count("*").alias("wealthy"), F.max("s_acctbal").alias("top_balance")
     )
     return attach_to_features(features, "feature_id", stats, "s_nationkey", ["wealthy", "top_balance"])
@@ -249,11 +253,11 @@ def year_bounds(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT CAST(year(o_orderdate) AS INTEGER) AS nearest_year FROM orders
-WHERE year(o_orderdate) <> 1999
-ORDER BY abs(year(o_orderdate) - 1999), year(o_orderdate) LIMIT 1""")
+SELECT CAST(2 * (year(o_orderdate) // 2) AS INTEGER) AS nearest_year FROM orders
+ORDER BY abs(2 * (year(o_orderdate) // 2) - 1999), 2 * (year(o_orderdate) // 2) LIMIT 1""")
 def nearest_census_year(t: Tables) -> DataFrame:
-    years = t.orders.select(F.year("o_orderdate").alias("year")).where("year <> 1999")
+    # even years only, so two of them are equally near
+    years = t.orders.select((F.floor(F.year("o_orderdate") / 2) * 2).cast("int").alias("year"))
     return nearest_year(years, "year", 1999)
 
 
@@ -280,11 +284,33 @@ def group_sum_series(t: Tables) -> DataFrame:
     return series_sum(roles.town_mart(t), ["service_type_id"], "year", "total_capacit")
 
 
-@query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def _with_neighbour(df: DataFrame, column: str) -> DataFrame:
+    """Sorted rows written and read back in the order of their files, each with the one after it.
+
+    Range partitions are written in order, so file and place in the file give the sorted order
+    that a reader meets; the neighbour makes it part of the result.
+    """
+    written = settle(df.select(
+        F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at"), "*"))
+    # neighbours are looked up by place, the last row of a part by the first of the next part with any
+    ends = written.groupBy("__part").agg(F.min_by(column, "__at").alias("head"))
+    following = Window.orderBy("__part")       # one row for each partition of the sort
+    ends = ends.select("__part", F.lead("head").over(following).alias("__head"))
+    inside = F.lead(column).over(Window.partitionBy("__part").orderBy("__at"))
+    return written.withColumn("__next", inside).join(ends, "__part").select(
+        *df.columns, F.coalesce("__next", "__head").alias("next_key"))
+
+
+@query("""
+SELECT o_orderkey, o_orderpriority, o_totalprice,
+       lead(o_orderkey) OVER (ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey) AS next_key
+FROM orders""")
 def sort_multi_direction(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(
+    """The order shows in the result as the key of the row that follows."""
+    ordered = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(
         F.asc("o_orderpriority"), F.desc("o_totalprice"), F.asc("o_orderkey")
     )
+    return _with_neighbour(ordered, "o_orderkey")
 
 
 @query("""

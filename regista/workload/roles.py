@@ -21,7 +21,6 @@ MART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD")
 RESIDENCE = "STANDARD"
 FIRST, LAST = 1994, 2002
 WIDE = "bigint"
-CENSUS_YEARS = (1996, 1998, 2000)
 
 
 def municipals(t: Tables) -> DataFrame:
@@ -61,11 +60,12 @@ def mart(t: Tables) -> DataFrame:
 
 
 def population(t: Tables) -> DataFrame:
-    """Quantities ordered per supplier in the census years; urgent ones are 65+."""
+    """Quantities ordered per supplier and census; urgent ones are 65+.
+
+    A census is held in every even year and counts the orders of its own and the next year.
+    """
     quantity = F.col("l_quantity").cast("bigint")
-    census = t.orders.withColumn("year", F.year("o_orderdate")).where(
-        F.col("year").isin(*CENSUS_YEARS)
-    )
+    census = t.orders.withColumn("year", (F.floor(F.year("o_orderdate") / 2) * 2).cast("int"))
     return (
         t.lineitem.join(census, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("l_suppkey").alias("municipal_code"), "year")
@@ -122,13 +122,13 @@ MUNICIPALS_SQL = """municipals AS (
   SELECT s_suppkey AS codi, s_name AS nom, s_nationkey AS codi_comarca, n_name AS nom_comarca
   FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
 
-POPULATION_SQL = f"""population AS (
-  SELECT l_suppkey AS municipal_code, CAST(year(o_orderdate) AS INTEGER) AS year,
+POPULATION_SQL = """population AS (
+  SELECT l_suppkey AS municipal_code, CAST(2 * (year(o_orderdate) // 2) AS INTEGER) AS year,
          CAST(SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN l_quantity ELSE 0 END) AS BIGINT)
            AS population_ge65,
          CAST(SUM(l_quantity) AS BIGINT) AS population
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE year(o_orderdate) IN {CENSUS_YEARS} GROUP BY 1, 2)"""
+  GROUP BY 1, 2)"""
 
 COUNTY_POPULATION_SQL = """county_population AS (
   SELECT codi_comarca AS comarca_id, CAST(SUM(population_ge65) AS BIGINT) AS population_ge65, year,

@@ -38,7 +38,8 @@ def strict_lenient_casts(t: Tables) -> DataFrame:
 @query("""
 SELECT c_custkey, CAST(floor((c_custkey - 700) / 2.0 + 0.5) AS BIGINT) AS rounded,
        floor(c_custkey * 1000.0 / nullif(c_nationkey, 0) + 0.5) / 10.0 AS one_decimal,
-       round(c_acctbal * 100.0 / nullif(c_nationkey, 0), 2) AS ratio
+       round(c_acctbal * 100.0 / nullif(c_nationkey, 0), 2) AS ratio,
+       (c_custkey * 1e15::DOUBLE) * 100.0::DOUBLE AS large_ratio
 FROM customer""")
 def js_round_percent(t: Tables) -> DataFrame:
     return t.customer.select(
@@ -46,6 +47,7 @@ def js_round_percent(t: Tables) -> DataFrame:
         scalar.round_half_up((F.col("c_custkey") - 700) / F.lit(2.0)).alias("rounded"),
         scalar.one_decimal_percent(F.col("c_custkey"), F.col("c_nationkey")).alias("one_decimal"),
         scalar.percent_ratio(F.col("c_acctbal"), F.col("c_nationkey")).alias("ratio"),
+        scalar.percent_ratio(F.col("c_custkey") * F.lit(1e15), F.lit(1)).alias("large_ratio"),
     )
 
 
@@ -68,11 +70,11 @@ def sign_and_deficit(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT 'staging/orders/' || lpad(CAST((o_orderkey // 1000) * 1000 AS VARCHAR), 8, '0') || '.json'
-         AS path, COUNT(*) AS row_count
-FROM orders GROUP BY 1""")
+SELECT 'staging/orders/' || repeat('0', greatest(0, 8 - length(o))) || o || '.json' AS path,
+       COUNT(*) AS row_count
+FROM (SELECT CAST((o_orderkey // 10) * 1000000 AS VARCHAR) AS o FROM orders) GROUP BY 1""")
 def landing_page_paths(t: Tables) -> DataFrame:
-    offset = F.floor(F.col("o_orderkey") / 1000) * 1000
+    offset = F.floor(F.col("o_orderkey") / 10) * 1000000
     landing = F.concat(F.lit("landing/orders/"), page_file_name(offset))
     return t.orders.groupBy(switch_layer(landing, "landing", "staging").alias("path")).agg(
         F.count("*").alias("row_count")

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regista.fixed_values import SERVICE_TYPES
+from regista.functions.document import member_codes, page_file_name
 from regista.functions.scalar import recode_value
-from regista.functions.document import member_codes
 from regista.operators.joins import lookup
-from regista.operators.quality import row_count_status
 from regista.operators.sets import union_all
 from regista.plans.jobs import read_catalogs
+from regista.plans.serving import serving_tables
 from regista.plans.staging import build_catalogs, staging_population
 from regista.schemas import CAPACITY_MART, CENSUS_CUBE
 from regista.sources import catalogs, tables
@@ -20,10 +20,13 @@ from regista.workload import roles
 from regista.workload.documents import CUBE_SQL, census_cubes
 from regista.workload.registry import Tables, query
 from regista.workload.roles import (
+    COUNTY_COVERAGE_SQL,
     COUNTY_POPULATION_SQL,
     MART_SQL,
     MUNICIPALS_SQL,
+    PANEL_SQL,
     POPULATION_SQL,
+    TOWN_COVERAGE_SQL,
     with_ctes,
 )
 from regista.workspace import run_folder
@@ -35,21 +38,81 @@ def _text_schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-@query("""
-SELECT CAST(o_orderkey AS VARCHAR) AS registre, o_orderpriority AS tipologia,
-       strftime(o_orderdate, '%Y-%m-%d') AS inscripcio FROM orders""")
-def landing_json_scan(t: Tables) -> DataFrame:
-    """Text records landed as JSON, read back pruned to three of five fields."""
+def _landed_register(t: Tables) -> str:
+    """Orders landed as a register is: JSON array pages of eight-digit names in dated folders.
+
+    A page covers a thousand order keys, so it is small; the pages are named by their offset.
+    """
     folder = run_folder(t.spark, "landing")
-    t.orders.select(
-        F.col("o_orderkey").cast("string").alias("registre"),
-        F.col("o_orderpriority").alias("tipologia"),
-        F.col("o_orderdate").cast("date").cast("string").alias("inscripcio"),
-        F.col("o_custkey").cast("string").alias("nif"),
-        F.col("o_orderstatus").alias("districte"),
-    ).write.json(f"{folder}/downloaded_date=20250809")
-    schema = _text_schema("registre", "tipologia", "inscripcio")
-    return read_landing_json(t.spark, folder, schema, _JSON_LINES, json_lines=True)
+    texts = {
+        "registre": F.format_string("S%08d", F.col("o_orderkey")),
+        "tipologia": F.col("o_orderpriority"),
+        "inscripcio": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "capacitat": F.col("o_custkey").cast("string"),
+        "municipi": F.concat(F.lit("Town "), F.col("o_custkey") % 97),
+        "comarca": F.when(F.col("o_orderstatus") == "P", "Val d'Aran").otherwise(F.col("o_orderstatus")),
+        "qualificacio": F.when(F.col("o_orderstatus") == "F", "null").otherwise(F.col("o_orderstatus")),
+        "districte": F.col("o_orderstatus"),
+    }
+    records = t.orders.select(
+        F.date_format("o_orderdate", "yyyy").alias("year"),
+        page_file_name(F.floor(F.col("o_orderkey") / 1000) * 1000).alias("page"),
+        F.struct(*[c.alias(n) for n, c in texts.items()]).alias("record"),
+    )
+    pages = records.groupBy("year", "page").agg(F.to_json(F.collect_list("record")).alias("text"))
+    pages.write.partitionBy("year", "page").text(f"{folder}/written")
+    # Spark names its files itself, a register's pages are named by their offset
+    files = t.spark._jvm.org.apache.hadoop.fs
+    system = files.Path(folder).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    for year in system.listStatus(files.Path(f"{folder}/written")):
+        name = year.getPath().getName()
+        if not name.startswith("year="):
+            continue
+        target = f"{folder}/landed/{PARTITION}={name.removeprefix('year=')}0101"
+        system.mkdirs(files.Path(target))
+        for page in system.listStatus(year.getPath()):
+            part = next(p.getPath() for p in system.listStatus(page.getPath()) if p.getPath().getName().startswith("part-"))
+            system.rename(part, files.Path(f"{target}/{page.getPath().getName().removeprefix('page=')}"))
+    return f"{folder}/landed"
+
+
+_REGISTER_ROWS = """register AS (
+  SELECT 'S' || repeat('0', greatest(0, 8 - length(CAST(o_orderkey AS VARCHAR)))) || o_orderkey AS registre,
+         o_orderpriority AS tipologia, strftime(o_orderdate, '%Y-%m-%d') AS inscripcio,
+         CAST(o_custkey AS VARCHAR) AS capacitat, 'Town ' || (o_custkey % 97) AS municipi,
+         CASE WHEN o_orderstatus = 'P' THEN 'Val d''Aran' ELSE o_orderstatus END AS comarca,
+         CASE WHEN o_orderstatus = 'F' THEN 'null' ELSE o_orderstatus END AS qualificacio,
+         strftime(o_orderdate, '%Y') || '0101' AS downloaded_date
+  FROM orders)"""
+
+
+@query(with_ctes(_REGISTER_ROWS, select="""
+SELECT registre, tipologia, inscripcio, capacitat, municipi, comarca, qualificacio FROM register"""))
+def landing_json_scan(t: Tables) -> DataFrame:
+    """Array pages of eight-digit names, read with the defaults and pruned to the register's columns."""
+    return read_landing_json(t.spark, _landed_register(t)).select(
+        "registre", "tipologia", "inscripcio", "capacitat", "municipi", "comarca", "qualificacio"
+    )
+
+
+@query(with_ctes(_REGISTER_ROWS, select="""
+SELECT registre, municipi FROM register WHERE downloaded_date IN ('19960101', '19980101')"""))
+def record_pages(t: Tables) -> DataFrame:
+    """The pages of two dated folders as one table of records."""
+    landed = _landed_register(t)
+    paths = [f"{landed}/{PARTITION}={day}" for day in ("19960101", "19980101")]
+    return catalogs.read_record_pages(t.spark, paths, _text_schema("registre", "municipi"))
+
+
+@query("""
+SELECT strftime(o_orderdate, '%Y') || '0101/' || repeat('0', greatest(0, 8 - length(o))) || o || '.json' AS page,
+       COUNT(*) AS row_count
+FROM (SELECT o_orderdate, CAST((o_orderkey // 1000) * 1000 AS VARCHAR) AS o FROM orders) GROUP BY 1""")
+def landing_rows_per_file(t: Tables) -> DataFrame:
+    """A10: rows of each landed file, told apart by folder and name."""
+    landing = read_landing_json(t.spark, _landed_register(t))
+    named = F.regexp_extract(F.col("_metadata.file_path"), rf"{PARTITION}=(\d+/\d+\.json)$", 1)
+    return landing.groupBy(named.alias("page")).agg(F.count("*").alias("row_count"))
 
 
 _MUNICIPALS = T.StructType([
@@ -124,6 +187,7 @@ _TYPE_CODES = {
 
 
 @query("""
+-- fixed values: five entries of the service catalog
 SELECT code AS service_type_id, description AS service_type_description, COUNT(*) AS parts
 FROM part LEFT JOIN (VALUES
   ('STANDARD', 'RES-003', 'Servei de residència assistida per a gent gran de caràcter temporal o permanent'),
@@ -169,11 +233,12 @@ def catalog_build(t: Tables) -> DataFrame:
     """Snapshots of the three catalogs, with the row-count rule applied to each."""
     folder = run_folder(t.spark, "catalogs")
     records = roles.municipals(t).select(*[F.col(c).cast("string") for c in catalogs.MUNICIPAL_COLUMNS])
-    build_catalogs(records, folder, "20250809_152821")
-    read = zip(("municipals", "service_type", "service_qualification"), read_catalogs(t.spark, folder))
+    status = build_catalogs(records, folder, "20250809_152821")
+    read = zip(status.items(), read_catalogs(t.spark, folder))
     return union_all([
-        row_count_status(df).select(F.lit(name).alias("catalog"), "row_count", "status")
-        for name, df in read
+        df.agg(F.count("*").alias("row_count")).select(
+            F.lit(name).alias("catalog"), "row_count", F.lit(rule).alias("status"))
+        for (name, rule), df in read
     ])
 
 
@@ -202,14 +267,61 @@ def publish_mart(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{folder}/marts")
 
 
-@query(with_ctes(MUNICIPALS_SQL, POPULATION_SQL, COUNTY_POPULATION_SQL,
-                 select="SELECT * FROM county_population"))
-def serving_json_roundtrip(t: Tables) -> DataFrame:
-    """Serving tables exported as JSON rows and loaded again."""
+def _served(t: Tables, name: str) -> DataFrame:
+    """One of the eight serving tables, exported as JSON rows and loaded again."""
+    types = t.part.select(
+        F.col("p_type").alias("service_type_id"), F.lower("p_type").alias("service_type_description")).distinct()
+    flags = t.lineitem.select(F.col("l_returnflag").alias("service_qualification_id")).distinct()
+    table = serving_tables(
+        roles.population(t), roles.mart(t), roles.municipals(t), types, flags,
+        first=roles.FIRST, last=roles.LAST, service_type=roles.RESIDENCE, measure_type=roles.WIDE,
+    )[name]
     folder = run_folder(t.spark, "serving")
-    by_county = roles.county_population(t, roles.population(t))
-    tables.write_serving_json({"comarca_population": by_county}, folder)
-    return tables.read_serving_json(t.spark, folder, "comarca_population", by_county.schema)
+    tables.write_serving_json({name: table}, folder)
+    return tables.read_serving_json(t.spark, folder, name, table.schema)
+
+
+_CENSUS = (MUNICIPALS_SQL, POPULATION_SQL, COUNTY_POPULATION_SQL)
+
+
+@query(with_ctes(*_CENSUS, select="SELECT * FROM county_population"))
+def serving_json_roundtrip(t: Tables) -> DataFrame:
+    return _served(t, "comarca_population")
+
+
+@query(with_ctes(MART_SQL, MUNICIPALS_SQL, PANEL_SQL, select="SELECT * FROM panel"))
+def served_panel(t: Tables) -> DataFrame:
+    return _served(t, "social_services_empty_last_year")
+
+
+@query(with_ctes(MART_SQL, *_CENSUS, TOWN_COVERAGE_SQL, select="SELECT * FROM town_coverage"))
+def served_municipal_coverage(t: Tables) -> DataFrame:
+    return _served(t, "municipal_coverage")
+
+
+@query(with_ctes(MART_SQL, *_CENSUS, COUNTY_COVERAGE_SQL, select="SELECT * FROM county_coverage"))
+def served_comarca_coverage(t: Tables) -> DataFrame:
+    return _served(t, "comarca_coverage")
+
+
+@query(with_ctes(MUNICIPALS_SQL, select="SELECT * FROM municipals"))
+def served_municipal(t: Tables) -> DataFrame:
+    return _served(t, "municipal")
+
+
+@query("SELECT DISTINCT p_type AS service_type_id, lower(p_type) AS service_type_description FROM part")
+def served_service_type(t: Tables) -> DataFrame:
+    return _served(t, "service_type")
+
+
+@query("SELECT DISTINCT l_returnflag AS service_qualification_id FROM lineitem")
+def served_service_qualification(t: Tables) -> DataFrame:
+    return _served(t, "service_qualification")
+
+
+@query(with_ctes(POPULATION_SQL, select="SELECT * FROM population"))
+def served_population(t: Tables) -> DataFrame:
+    return _served(t, "population")
 
 
 @query(with_ctes(MUNICIPALS_SQL, POPULATION_SQL, COUNTY_POPULATION_SQL,
@@ -241,32 +353,22 @@ def sink_audit(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{folder}/audit").select("dataset", "row_count", "columns")
 
 
-@query("""
-SELECT CAST(event_id AS VARCHAR) AS event_id,
-       CASE WHEN event_type = 'error' THEN 'fault' ELSE event_type END AS event_type,
-       strftime(ts, '%Y%m%d') AS downloaded_date
-FROM events""")
+@query(with_ctes(_REGISTER_ROWS, select="""
+SELECT registre, tipologia, inscripcio, capacitat, municipi, nullif(qualificacio, 'null') AS qualificacio,
+       CASE WHEN comarca = 'Val d''Aran' THEN 'Aran' ELSE comarca END AS comarca, downloaded_date
+FROM register"""))
 def incremental_landing(t: Tables) -> DataFrame:
-    """Events land in two waves; the second run must read the second wave only."""
+    """Register pages land in two waves; the second run must read the second wave only."""
+    landed = _landed_register(t)
     folder = run_folder(t.spark, "incremental")
-    landed = t.events.select(
-        F.col("event_id").cast("string").alias("event_id"), "event_type",
-        F.date_format("ts", "yyyyMMdd").alias(PARTITION),
-    )
-
-    def clean(stream: DataFrame) -> DataFrame:
-        kind = recode_value(F.col("event_type"), {"error": "fault"})
-        return stream.select("event_id", kind.alias("event_type"), PARTITION)
-
-    first_wave = F.col("event_type").isin("error", "view")
-    for wave in (landed.where(first_wave), landed.where(~first_wave)):
-        wave.hint("rebalance", PARTITION).write.mode("append").partitionBy(PARTITION).json(
-            f"{folder}/landing"
-        )
-        stream = landing_stream(
-            t.spark, f"{folder}/landing", _text_schema("event_id", "event_type"), _JSON_LINES,
-            json_lines=True,
-        )
-        append_new_landing(stream, f"{folder}/clean", f"{folder}/progress", clean).awaitTermination()
-    schema = _text_schema("event_id", "event_type", PARTITION)
-    return t.spark.read.schema(schema).parquet(f"{folder}/clean")
+    files = t.spark._jvm.org.apache.hadoop.fs
+    system = files.Path(landed).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    system.mkdirs(files.Path(f"{folder}/landing"))
+    days = sorted((d.getPath() for d in system.listStatus(files.Path(landed))), key=lambda p: p.getName())
+    for wave in (days[::2], days[1::2]):
+        for day in wave:
+            system.rename(day, files.Path(f"{folder}/landing/{day.getName()}"))
+        stream = landing_stream(t.spark, f"{folder}/landing")
+        append_new_landing(stream, f"{folder}/clean", f"{folder}/progress").awaitTermination()
+    columns = ("registre", "tipologia", "inscripcio", "capacitat", "municipi", "comarca", "qualificacio")
+    return t.spark.read.schema(_text_schema(*columns, PARTITION)).parquet(f"{folder}/clean")

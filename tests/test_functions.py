@@ -1,4 +1,5 @@
 import datetime
+import math
 import random
 
 import pytest
@@ -124,14 +125,29 @@ def test_threshold_class_of_null_and_limits_around(spark):
 
 def test_documents(spark):
     assert one(spark, document.json_path(F.col("s"), "$.a.b", "int"), s='{"a": {"b": 7}}') == 7
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        one(spark, document.json_path(F.col("s"), "$.a", "int"), s='{"a": "x"}')
+    assert one(spark, document.json_path(F.col("s"), "$.a", "int"), s='{"a": null}') is None
+    assert one(spark, document.json_path(F.col("s"), "$.a", "int"), s='{}') is None
+    assert one(spark, document.json_path(F.col("s"), "$.a", "double"), s='{"a": 1.5}') == 1.5
+    assert one(spark, document.json_path(F.col("s"), "$.a", "double"), s='{"a": 2}') == 2.0
+    assert one(spark, document.json_path(F.col("s"), "$.a"), s='{"a": "x"}') == "x"
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            for value, kind in (('"x"', "int"), ('"5"', "int"), ("[1]", "string"), ("5", "string"), ("1.5", "int"), ("true", "int")):
+                with pytest.raises(Exception, match=f"is no {kind}"):
+                    one(spark, document.json_path(F.col("s"), "$.a", kind), s=f'{{"a": {value}}}')
+            with pytest.raises(Exception):
+                one(spark, document.json_path(F.col("s"), "$.a", "int"), s="no json")
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
     assert one(spark, document.member_codes(F.col("s")), s='["b", "a"]') == ["b", "a"]
     assert one(spark, document.member_codes(F.col("s")), s='{"a": 1, "b": 0}') == ["b", "a"]
     assert one(spark, document.array_product(F.array(F.lit(2), F.lit(3), F.lit(5)))) == 30
     values = F.array(*[F.lit(i) for i in (10, 11, 20, 21)])
     assert one(spark, document.stride_pick(values, 2, 1)) == [11, 21]
-    assert one(spark, document.page_file_name(F.lit(2000))) == "00002000.json"
+    for offset, name in ((0, "00000000"), (2000, "00002000"), (99999000, "99999000"), (100000000, "100000000"),
+                         (123456000, "123456000"), (1234567000, "1234567000")):
+        assert one(spark, document.page_file_name(F.lit(offset))) == f"{name}.json"
     path = document.switch_layer(F.lit("landing/x/landing.json"), "landing", "staging")
     assert one(spark, path) == "staging/x/landing.json"
     zipped = document.zip_fields(F.array(F.lit("A"), F.lit("B")), F.array(F.lit("1"), F.lit("2")))
@@ -160,3 +176,20 @@ def test_normalisation_of_random_texts(spark):
         expected = plain_tokens(row["s"])
         assert row["t"] == expected, repr(row["s"])
         assert row["n"] == " ".join(expected)
+
+
+@pytest.mark.parametrize("value", [9.3e16, 1e17, 1e18, -1e18, 2.0**53, 1e300, float("inf"), float("-inf")])
+def test_large_values_are_not_rounded_away(spark, value):
+    assert one(spark, scalar.round_places(F.lit(value))) == value
+    assert one(spark, scalar.percent_ratio(F.lit(value / 100), F.lit(1))) == value / 100 * 100.0
+    assert one(spark, scalar.one_decimal_percent(F.lit(value), F.lit(1000))) == value * 1000.0 / 1000.0 / 10.0
+
+
+def test_values_without_a_rounding(spark):
+    assert math.isnan(one(spark, scalar.round_places(F.lit(float("nan")))))
+    assert one(spark, scalar.round_places(F.lit(None).cast("double"))) is None
+    assert one(spark, scalar.round_half_up(F.lit(None).cast("double"))) is None
+    assert one(spark, scalar.round_half_up(F.lit(float(2**60 + 2**10)))) == 2**60 + 2**10
+    for value in (1e19, float("inf"), float("nan")):
+        with pytest.raises(Exception, match="no 64-bit integer"):
+            one(spark, scalar.round_half_up(F.lit(value)))

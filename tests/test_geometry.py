@@ -103,6 +103,60 @@ def test_features(spark):
 
 def test_running_id_over_many_blocks(spark):
     df = spark.range(0, 3000, 3).withColumnRenamed("id", "record_no")
-    out = geometry.running_id(df, "record_no", block=64)
+    out = geometry.running_id(df, "record_no")
     assert out.where(F.col("id") != F.col("record_no") / 3).count() == 0
     assert out.count() == 1000
+
+
+def test_running_id_over_sparse_numbers(spark, monkeypatch):
+    """Numbers all over 64 bits: what goes through the one window stays as small as the partitions are few."""
+    written = []
+    settle = geometry.settle
+    monkeypatch.setattr(geometry, "settle", lambda df: written.append(settle(df)) or written[-1])
+    df = spark.range(20000).select(F.xxhash64("id").alias("record_no"), F.lit("x").alias("wide"))
+    out = geometry.running_id(df, "record_no").orderBy("record_no").collect()
+    assert [r["id"] for r in out] == list(range(20000))
+    assert written[0].columns == ["__key", "__range"]
+    assert written[0].select("__range").distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("numbers, message", [([1, None, 2], "record_no is NULL"), ([1, 2, 2], "record_no is repeated: 2")])
+def test_running_id_loses_no_row(spark, numbers, message):
+    df = spark.createDataFrame([(n,) for n in numbers], "record_no bigint")
+    with pytest.raises(Exception, match=message):
+        geometry.running_id(df, "record_no").collect()
+
+
+def snyder(x, y):
+    """Metres to degrees by the footpoint series of the US Geological Survey's manual, with GRS80 written out."""
+    a, e2, k0 = 6378137.0, 0.00669438002290, 0.9996
+    ep2, m = e2 / (1 - e2), y / k0
+    mu = m / (a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
+    e1 = (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
+    p = (mu + (3 * e1 / 2 - 27 * e1**3 / 32) * math.sin(2 * mu) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * math.sin(4 * mu)
+         + 151 * e1**3 / 96 * math.sin(6 * mu) + 1097 * e1**4 / 512 * math.sin(8 * mu))
+    c, t = ep2 * math.cos(p)**2, math.tan(p)**2
+    n, r = a / math.sqrt(1 - e2 * math.sin(p)**2), a * (1 - e2) / (1 - e2 * math.sin(p)**2)**1.5
+    d = (x - 500000.0) / (n * k0)
+    lat = p - n * math.tan(p) / r * (
+        d**2 / 2 - (5 + 3 * t + 10 * c - 4 * c**2 - 9 * ep2) * d**4 / 24
+        + (61 + 90 * t + 298 * c + 45 * t**2 - 252 * ep2 - 3 * c**2) * d**6 / 720)
+    lon = (d - (1 + 2 * t + c) * d**3 / 6
+           + (5 - 2 * c + 28 * t - 3 * c**2 + 8 * ep2 + 24 * t**2) * d**5 / 120) / math.cos(p)
+    return 3.0 + math.degrees(lon), math.degrees(lat)
+
+
+def test_agrees_with_another_method(spark):
+    points = [(260000.0 + 27000 * i, 4480000.0 + 27000 * j) for i in range(11) for j in range(11)]
+    df = spark.createDataFrame([(*p, *snyder(*p)) for p in points], "x double, y double, lon0 double, lat0 double")
+    error = geometry.reproject_rows(df).select(
+        F.max(F.abs(F.col("lon") - F.col("lon0"))).alias("lon"), F.max(F.abs(F.col("lat") - F.col("lat0"))).alias("lat")).first()
+    assert error["lon"] < 1e-7 and error["lat"] < 1e-7
+
+
+def test_published_lengths_of_the_meridian(spark):
+    """GRS80: 10,001,965.729 m from the equator to the pole, 4,984,944.378 m to 45 degrees."""
+    rows = [(500000.0, 0.9996 * 10001965.7293, 90.0), (500000.0, 0.9996 * 4984944.378, 45.0)]
+    df = spark.createDataFrame(rows, "x double, y double, lat0 double")
+    for r in geometry.reproject_rows(df).collect():
+        assert abs(r["lat"] - r["lat0"]) < 2e-8

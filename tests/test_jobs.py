@@ -103,3 +103,75 @@ def test_boundaries(spark, tmp_path, rows):
         }
     with pytest.raises(ValueError):
         jobs.build_boundaries({"vegueries": shapes}, str(tmp_path))
+
+
+def test_a_failed_check_leaves_the_old_partition(spark, tmp_path, rows, monkeypatch):
+    base, catalogs = str(tmp_path / "data"), str(tmp_path / "catalogs")
+    records = spark.createDataFrame(
+        [("080193", "Barcelona", "13", "Barcelonès")], "codi string, nom string, codi_comarca string, nom_comarca string")
+    build_catalogs(records, catalogs, "20250809_000000")
+    folder = tmp_path / "data" / "landing" / jobs.REGISTER / "downloaded_date=20250801"
+    land(folder, "00000000.json", [record("S00001", "2010-01-01", "10", "Barcelona", "Barcelonès")])
+    jobs.stage_register(spark, base, catalogs, "20250801")
+    target = f"{base}/staging/{jobs.REGISTER}"
+    before = rows(spark.read.parquet(target))
+    land(folder, "00001000.json", [record("S00002", "2011-01-01", "20", "Barcelona", "Barcelonès")])
+    whole = jobs.staging_register
+    monkeypatch.setattr(jobs, "staging_register", lambda *args: whole(*args).where("capacity < 15"))
+    with pytest.raises(DataQualityError, match="distinct ids before 2, after 1"):
+        jobs.stage_register(spark, base, catalogs, "20250801")
+    assert rows(spark.read.parquet(target)) == before
+    monkeypatch.undo()
+    land(folder, "00002000.json", [{**record("S00003", "2011-01-01", "20", "Barcelona", "Barcelonès"), "tipologia": f"unknown {i}"}
+                                   for i in range(30)])
+    with pytest.raises(DataQualityError, match="30 unmapped values, all of them in") as error:
+        jobs.stage_register(spark, base, catalogs, "20250801")
+    path = str(error.value).split("all of them in ")[1].split(": (")[0]
+    assert spark.read.parquet(path).count() == 30
+    assert rows(spark.read.parquet(target)) == before
+
+
+def test_announced_years_must_land(spark, tmp_path):
+    land(tmp_path / "landing" / jobs.CENSUS, "2011.json", {
+        "size": [1, 2, 2], "value": [1, 10, 1, 10],
+        "dimension": {"YEAR": {"category": {"index": ["2011"]}}, "MUN": {"category": {"index": ["080193", "T"]}}}})
+    jobs.build_population(spark, str(tmp_path), announced=[2011])
+    with pytest.raises(DataQualityError, match="1 values of year did not land, 2021 to 2021"):
+        jobs.build_population(spark, str(tmp_path), announced=[2011, 2021])
+    assert spark.read.parquet(f"{tmp_path}/marts/{jobs.CENSUS}").count() == 1
+
+
+def test_empty_catalog_stops_before_any_snapshot(spark, tmp_path):
+    records = spark.createDataFrame([], "codi string, nom string, codi_comarca string, nom_comarca string")
+    with pytest.raises(DataQualityError, match="catalog municipals has no rows"):
+        build_catalogs(records, str(tmp_path / "catalogs"), "20250809_000000")
+    assert not (tmp_path / "catalogs").exists()
+
+
+def test_years_outside_the_calendar(spark, tmp_path, rows):
+    base, catalogs = str(tmp_path / "data"), str(tmp_path / "catalogs")
+    records = spark.createDataFrame(
+        [("080193", "Barcelona", "13", "Barcelonès")], "codi string, nom string, codi_comarca string, nom_comarca string")
+    build_catalogs(records, catalogs, "20250809_000000")
+    mart = [("PUB-001", "RES-003", "13", "080193", y, 1, n) for y, n in ((1970, 4), (2000, 2), (2026, 7))]
+    spark.createDataFrame(mart, schemas.CAPACITY_MART).write.parquet(f"{base}/marts/{jobs.CAPACITY}")
+    spark.createDataFrame([("080193", 100, 1000, 2001)], schemas.POPULATION).write.parquet(f"{base}/marts/{jobs.CENSUS}")
+    jobs.build_serving(spark, base, catalogs, measure_type="bigint")
+    cover = spark.read.json(f"{base}/serving/municipal_coverage")
+    assert rows(cover.where("year in (2000, 2025, 2026)"), "year", "total_capacit") == [(2000, 2), (2025, 2), (2026, 9)]
+    outside = spark.read.parquet(f"{base}/audit_outside_calendar")
+    assert rows(outside, "dataset", "year", "row_count") == [("mart", 1970, 1)]
+    jobs.build_serving(spark, base, catalogs, first=1970, last=2026)
+    cover = spark.read.json(f"{base}/serving/municipal_coverage")
+    assert rows(cover.where("year in (1970, 2026)"), "year", "total_capacit") == [(1970, 4), (2026, 13)]
+    assert spark.read.parquet(f"{base}/audit_outside_calendar").count() == 1
+
+
+def test_jobs_leave_no_settled_table(spark, tmp_path):
+    from regista.workspace import scratch, settle
+
+    with scratch(spark):
+        kept = settle(spark.range(3))
+        path = kept.inputFiles()[0]
+    import os
+    assert not os.path.exists(path.removeprefix("file://").removeprefix("file:"))

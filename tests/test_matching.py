@@ -24,9 +24,9 @@ def brute_force(names, catalog):
     return {(*k, *v) for k, v in best.items()}
 
 
-@pytest.mark.parametrize("listed", [0, 2, 10])
-def test_equals_brute_force(spark, listed):
-    rng = random.Random(listed)
+@pytest.mark.parametrize("frequent", [0, 2, 10, 32])
+def test_equals_brute_force(spark, frequent):
+    rng = random.Random(frequent)
 
     def name():
         return " ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 5)))
@@ -39,7 +39,7 @@ def test_equals_brute_force(spark, listed):
     matched = match_places(
         spark.createDataFrame(names, "comarca string, municipi string"),
         spark.createDataFrame(catalog, "codi string, nom string, codi_comarca string, nom_comarca string"),
-        listed=listed,
+        frequent=frequent,
     )
     got = {tuple(r) for r in matched.select(
         "comarca", "municipi", "codi", "codi_comarca", "tokens_similar").collect()}
@@ -78,3 +78,49 @@ def test_rows_without_a_name(spark, rows):
     names = spark.createDataFrame([("Osona", None), (None, "Vic")], "comarca string, municipi string")
     placed = attach_places(names, match_places(names, catalog))
     assert rows(placed, "comarca", "municipi", "codi") == [("Osona", None, "5"), (None, "Vic", None)]
+
+
+def test_long_names_with_common_words_meet_few_candidates(spark):
+    """Eleven tokens each, two of them in every name: candidates grow with the names, not their product."""
+    def word(kind, i, k):
+        return kind + f"{i}x{k}".translate(str.maketrans("0123456789", "abcdefghij"))
+
+    def frame(n):
+        names = [("A", " ".join([word("n", i, k) for k in range(8)] + [word("o", i % 50, 1), "de", "la"])) for i in range(n)]
+        official = [(f"{i:04d}", " ".join([word("o", i, k) for k in range(9)] + ["de", "la"]), "A", "A") for i in range(n)]
+        return (spark.createDataFrame(names, "comarca string, municipi string"),
+                spark.createDataFrame(official, "codi string, nom string, codi_comarca string, nom_comarca string"), names, official)
+
+    def largest_join(n):
+        names, catalog, raw, official = frame(n)
+        matched = match_places(names, catalog)
+        got = {tuple(r) for r in matched.select("comarca", "municipi", "codi", "codi_comarca", "tokens_similar").collect()}
+        assert got == brute_force(raw, official)
+        return max(_join_rows(matched))
+
+    small, large = largest_join(60), largest_join(240)
+    assert large <= 5 * small
+
+
+def _join_rows(df):
+    """Output rows of every join and explode in the plan that ran."""
+    counts = []
+
+    def walk(node):
+        name = node.nodeName()
+        if "Join" in name or name == "Generate":
+            metric = node.metrics().get("numOutputRows")
+            if metric.isDefined():
+                counts.append(metric.get().value())
+        if name == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif "QueryStage" in name:
+            walk(node.plan())
+        else:
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    walk(plan)
+    return counts

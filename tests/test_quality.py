@@ -1,7 +1,7 @@
 import pytest
 
 from regista.fixed_values import REGISTER_PATTERNS
-from regista.operators import quality
+from regista.operators import aggregate, quality
 from regista.operators.project import common_columns, mart_rows, not_matching
 from regista.operators.sets import set_difference, union_all, union_diagonal
 
@@ -29,12 +29,21 @@ def test_pattern_profile_ignores_nulls(spark, rows):
         [("S00001", "2007-02-07", "35", "08001", "P00120012"), ("S1", None, "7", "08820", "null")],
         "registre string, inscripcio string, capacitat string, cp string, nif string",
     )
-    profile = quality.pattern_profile(df, REGISTER_PATTERNS)
+    profile = aggregate.all_match(df, REGISTER_PATTERNS)
     assert rows(profile, "column_name", "matches") == [
         ("capacitat", True), ("cp", True), ("inscripcio", True), ("nif", True), ("registre", False),
     ]
     assert rows(not_matching(df, "registre", REGISTER_PATTERNS["registre"]), "registre") == [("S1",)]
     assert not_matching(df, "inscripcio", "^x").count() == 1
+    for empty in (df.limit(0), df.selectExpr("CAST(NULL AS STRING) AS registre")):
+        assert [r.matches for r in aggregate.all_match(empty, {"registre": "x"}).collect()] == [True]
+
+
+def test_too_many_values_to_list(spark):
+    df = spark.range(20).selectExpr("id % 11 AS v")
+    assert aggregate.distinct_list(df, "v", 11).first()["values"] == list(range(11))
+    with pytest.raises(Exception, match="v has more than 10 distinct values: 11"):
+        aggregate.distinct_list(df, "v", 10).collect()
 
 
 def test_missing_members(spark, rows):

@@ -164,7 +164,7 @@ def test_county_and_town_figures(tables, population, rows):
     ]
 
 
-def test_trends_and_choices(tables, rows):
+def test_trends_and_choices(spark, tables, mart, municipals, rows):
     counties, panel, _, _ = tables
     trend = indicators.county_service_trend(panel)
     assert rows(trend.where("service_type_id = 'RES-003' and comarca_id = 'c1'"), "year",
@@ -176,13 +176,24 @@ def test_trends_and_choices(tables, rows):
     assert rows(indicators.county_population_trend(counties, panel), "comarca_id", "year") == [
         ("c1", 1981), ("c1", 1983),
     ]
-    assert rows(indicators.available_services(panel)) == [
-        ("c1", "DAY-001"), ("c1", "RES-003"), ("c2", "RES-003"),
+    types = spark.createDataFrame([("RES-003", "Residence")], "service_type_id string, service_type_description string")
+    services = indicators.available_services(mart, municipals, types)
+    assert rows(services, "comarca_id", "service_type_id", "service_type_description") == [
+        ("c1", "DAY-001", None), ("c1", "RES-003", "Residence"), ("c2", "RES-003", "Residence"),
     ]
-    assert rows(indicators.available_initiatives(panel)) == [
-        ("c1", "DAY-001", "PUB-001"), ("c1", "RES-003", "PRV-001"), ("c1", "RES-003", "PUB-001"),
-        ("c2", "RES-003", "PUB-001"),
+    owners = spark.createDataFrame(
+        [("PUB-001", "Public"), ("PRV-001", "Private")],
+        "service_qualification_id string, service_qualification_description string")
+    initiatives = indicators.available_initiatives(mart, municipals, owners)
+    assert rows(initiatives, "comarca_id", "service_type_id", "service_qualification_description") == [
+        ("c1", "DAY-001", "Public"), ("c1", "RES-003", "Private"), ("c1", "RES-003", "Public"),
+        ("c2", "RES-003", "Public"),
     ]
+    # the same as what the panel shows, without building it
+    shown = panel.where("total_capacit > 0").select("comarca_id", "service_type_id").distinct()
+    assert rows(shown) == rows(services, "comarca_id", "service_type_id")
+    shown = panel.select("comarca_id", "service_type_id", "service_qualification_id").distinct()
+    assert rows(shown) == rows(initiatives, "comarca_id", "service_type_id", "service_qualification_id")
 
 
 def test_maps(spark, tables, municipals, population, rows):

@@ -161,6 +161,23 @@ def test_census_cubes(spark, tmp_path, rows):
     ]
 
 
+@pytest.mark.parametrize("change", [
+    {"value": [5, 20, 8]}, {"size": [1, 2, 2]}, {"size": [1, 3, 1], "value": [1, 2, 3]},
+    {"value": [1, 2, 3, 4, 5, 6, 7]}, {"size": [1, 3, 3]},
+])
+def test_cube_of_other_lengths_fails(spark, tmp_path, change):
+    path = tmp_path / "2011.json"
+    path.write_text(json.dumps({**cube(["080193", "081691", "T"], [5, 20, 3, 8, 5, 28]), **change}))
+    with pytest.raises(Exception, match="cube of sizes"):
+        census_rows(read_census_cubes(spark, str(path))).collect()
+
+
+def test_cube_with_a_third_measure(spark, tmp_path, rows):
+    path = tmp_path / "2011.json"
+    path.write_text(json.dumps({**cube(["080193", "T"], [5, 20, 99, 6, 21, 98], territories=2), "size": [1, 2, 3]}))
+    assert rows(census_rows(read_census_cubes(spark, str(path))), "municipal_code", "population_ge65", "population") == [("080193", 5, 20)]
+
+
 def test_cube_with_two_years_fails(spark, tmp_path):
     path = tmp_path / "2011.json"
     path.write_text(json.dumps(cube(["a", "b", "T"], [1, 2, 3, 4, 5, 6], ["2011", "2021"])))

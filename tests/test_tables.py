@@ -108,3 +108,14 @@ def test_stream_reads_each_page_once(spark, tmp_path, rows):
     assert run() == expected
     land("20250808", "00000000", {"registre": "S2", "comarca": "Osona", "qualificacio": "q"})
     assert run() == [*expected, ("S2", "Osona", "q", "20250808")]
+
+
+def test_an_empty_partition_replaces_the_old_rows(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "n int, day string")
+    tables.write_partition(rows, base, "day")
+    tables.write_partition(rows.limit(0).drop("day"), base, "day", "a")
+    left = spark.read.schema(rows.schema).parquet(base)
+    assert [tuple(r) for r in left.collect()] == [(2, "b")]
+    tables.write_partition(rows.limit(1).drop("day"), base, "day", "a")
+    assert spark.read.schema(rows.schema).parquet(base).count() == 2
