@@ -1,12 +1,13 @@
 """Toxicity by two class-conditional Kneser-Ney models over one shared backoff.
 
-A bigram model of toxic and one of ordinary texts are counted from labelled rows, as many of either.
+A bigram model of toxic and one of ordinary texts are counted from labelled rows.
 Both back off to the pairs and words of either class together, weighed by how much likelier their own
 class makes the word. What counts everywhere is the number of different
 contexts, so copies add nothing, and an expression with few contexts in a class is discounted whole:
 it says nothing about the class and is left to the shared counts. A text is scored by the difference
 of its length-normalised log-likelihoods, over the whole text and over its most toxic stretch; a
-logistic curve fitted on labelled rows apart turns both into a score.
+logistic curve fitted on labelled rows apart weighs the two, and the rising share of toxic texts
+among these rows turns the weighted sum into a score.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ SAMPLE_ROWS = 2000
 #: and the most text of them, so that the model has a bounded size
 SAMPLE_BYTES = 16 << 20
 #: an expression with so few contexts in a class is left to the shared counts: this share of the
-#: texts of a class, and at least a few
-RARE_SHARE = 0.025
+#: class's texts, or as large a share as this many toxic texts are
+RARE_SHARE = 0.05
 RARE_LEAST = 3
 #: words of the stretches compared beside the whole text
 STRETCH = 1
@@ -52,6 +53,7 @@ class Model(NamedTuple):
     pairs: np.ndarray        # sorted hashes of two words
     pair_prob: np.ndarray    # (3, pairs + 1): what the bigram itself adds
     curve: np.ndarray        # weights of (whole text, best stretch, 1)
+    steps: np.ndarray        # (2, steps): a weighted sum, and the share of toxic texts at it
     constant: float | None   # the score of every text if a class has no rows
 
 
@@ -86,7 +88,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                      pa.array(toxic[w.first + w.text].astype(np.int32))], ["u", "v", "w", "toxic"])
 
 
-def _fit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, rare: float) -> Model:
+def _fit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, rare: tuple[float, float]) -> Model:
     """``counts`` is (2, pairs): after how many words each pair stands in ordinary and toxic texts."""
     words, own = np.unique(second, return_inverse=True)
     contexts = np.bincount(own)                                  # distinct words before it, in both classes
@@ -95,12 +97,12 @@ def _fit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, rare: float)
     order = np.argsort(pair_hashes(first, second))
     history = _look(words, first)
     word_prob, backoff, pair_prob = [], [], []
-    for c in (*counts, counts.sum(axis=0)):
+    for c, few in zip((*counts, counts.sum(axis=0)), (*rare, 0.0)):
         if len(word_prob) < 2:
             single = np.bincount(own, weights=c > 0, minlength=len(words))
-            left = _specific(single, rare)
+            left = _specific(single, few)
             word_prob.append(np.append(left, 0.0) / single.sum() + (1 - left.sum() / single.sum()) * shared)
-            left = _specific(c, rare)
+            left = _specific(c, few)
         else:
             word_prob.append(shared)
             left = discounted(c, discounts(count_of_counts(c)))
@@ -111,8 +113,10 @@ def _fit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, rare: float)
         with np.errstate(divide="ignore", invalid="ignore"):
             backoff.append(np.where(total > 0, (total - seen) / total, 1.0))
             pair_prob.append(np.append(np.where(total[history] > 0, left / total[history], 0.0)[order], 0.0))
-    return Model(words, np.asarray(word_prob), np.asarray(backoff), pair_hashes(first, second)[order],
-                 np.asarray(pair_prob), np.zeros(3), None)
+    # what a pair adds to both classes alike cancels out, so only pairs that speak for a class are kept
+    speak = np.append((np.asarray(pair_prob)[:2, :-1] > 0).any(axis=0), True)
+    return Model(words, np.asarray(word_prob), np.asarray(backoff), pair_hashes(first, second)[order][speak[:-1]],
+                 np.asarray(pair_prob)[:, speak], np.zeros(3), np.zeros((2, 1)), None)
 
 
 def _specific(counts: np.ndarray, rare: float) -> np.ndarray:
@@ -129,7 +133,8 @@ def _evidence(model: Model, hashes: np.ndarray, text: np.ndarray, texts: int) ->
     word, pair, history = _look(model.words, hashes), _look(model.pairs, pair_hashes(before, hashes)), _look(model.words, before)
     common = model.pair_prob[2][pair] / model.word_prob[2][word] + model.backoff[2][history]
     ordinary, toxic = (model.pair_prob[c][pair] + model.backoff[c][history] * common * model.word_prob[c][word] for c in (0, 1))
-    gain = np.log(toxic) - np.log(ordinary)
+    # a word nobody knows speaks for neither class, whatever the two models keep for such words
+    gain = np.log(toxic) - np.log(ordinary) - np.log(model.word_prob[1][-1] / model.word_prob[0][-1])
     first = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
     many = np.diff(np.append(first, len(text)))
     out[text[first], 0] = np.add.reduceat(gain, first) / many
@@ -155,6 +160,25 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
+def _rising(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The share of ``y`` over ``z`` as steps that never fall (isotonic regression): edges and shares."""
+    order = np.argsort(z, kind="stable")
+    blocks: list[list[float]] = []       # lowest z, highest z, weight, weighted sum
+    for at, hit, w in zip(z[order], y[order], weight[order]):
+        blocks.append([at, at, w, w * hit])
+        while len(blocks) > 1 and (blocks[-2][3] * blocks[-1][2] >= blocks[-1][3] * blocks[-2][2] or blocks[-2][1] == blocks[-1][0]):
+            _, high, w_, sum_ = blocks.pop()
+            blocks[-1][1:] = [high, blocks[-1][2] + w_, blocks[-1][3] + sum_]
+    edges = np.asarray([(b[i], b[3] / b[2]) for b in blocks for i in (0, 1)]).T
+    return edges if len(blocks) else np.asarray([[0.0], [0.0]])
+
+
+def _scores(model: Model, x: np.ndarray) -> np.ndarray:
+    """The share of toxic texts at the weighted sum; the sum itself decides among equal shares."""
+    z = x @ model.curve[:2] + model.curve[2]
+    return 0.99 * np.interp(z, *model.steps) + 0.01 / (1 + np.exp(-np.clip(z, -60, 60)))
+
+
 def _score_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
@@ -163,7 +187,7 @@ def _score_batches(shared):
             if model.constant is None:
                 for w in pieces(batch.column(1), lower=True):
                     x[w.first:w.first + w.texts] = _evidence(model, w.hashes, w.text, w.texts)
-                score = 1 / (1 + np.exp(-np.clip(x @ model.curve[:2] + model.curve[2], -60, 60)))
+                score = _scores(model, x)
             else:
                 score = np.full(batch.num_rows, model.constant)
             yield pa.RecordBatch.from_arrays(
@@ -182,11 +206,9 @@ def _labelled(labels: DataFrame) -> tuple[DataFrame, list[int]]:
     return marks, [counts.get(0, 0), counts.get(1, 0)]
 
 
-def _sample(docs: DataFrame, marks: DataFrame, shares: list[int], rows: int, most: int) -> DataFrame:
+def _sample(docs: DataFrame, marks: DataFrame, rows: int, most: int) -> DataFrame:
     """(text, toxic, fit) of at most ``rows`` labelled texts of each class; fit 0 is for the curve."""
     order = F.xxhash64("doc_id", F.lit("sample"))
-    # as many of one class as of the other, so that neither model knows more words
-    rows = min(rows, *shares)
     chosen = settle(marks.where("toxic = 0").orderBy(order, "doc_id").limit(rows).unionAll(
         marks.where("toxic <> 0").orderBy(order, "doc_id").limit(rows)))
     # at most 2 * rows rows are broadcast
@@ -208,21 +230,22 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int
     """A model of bounded size: pairs are counted in Spark, the distinct pairs of the sample come back."""
     ship(docs.sparkSession)
     marks, shares = _labelled(labels)
-    sample = _sample(docs, marks, shares, rows, most)
+    sample = _sample(docs, marks, rows, most)
     classes = {r["toxic"]: r["count"] for r in sample.where("fit = 1").groupBy("toxic").count().collect()}
     empty = np.zeros(0, np.uint64)
     if len(classes) < 2:
         none = np.zeros((3, 1))
-        return Model(empty, none, none, empty, none, np.zeros(3), 0.0)
+        return Model(empty, none, none, empty, none, np.zeros(3), none[:2], 0.0)
     counted = sample.where("fit = 1").select("text", "toxic").mapInArrow(
         _count_batches, "u bigint, v bigint, w bigint, toxic int").distinct()
     pairs = counted.groupBy("v", "w").agg(F.count(F.when(F.col("toxic") == 0, 1)).alias("a"),
                                           F.count(F.when(F.col("toxic") == 1, 1)).alias("b")).toArrow()
     v, w, a, b = (pairs.column(c).to_numpy() for c in ("v", "w", "a", "b"))
     if not len(v):
-        return Model(empty, np.zeros((3, 1)), np.zeros((3, 1)), empty, np.zeros((3, 1)), np.zeros(3), 0.0)
+        none = np.zeros((3, 1))
+        return Model(empty, none, none, empty, none, np.zeros(3), none[:2], 0.0)
     model = _fit(v.view(np.uint64), w.view(np.uint64), np.stack((a, b)),
-                 max(RARE_LEAST, RARE_SHARE * max(classes.values())))
+                 tuple(max(RARE_SHARE, RARE_LEAST / classes[1]) * classes[c] for c in (0, 1)))
     apart = sample.where("fit = 0").select(F.col("toxic").cast("bigint").alias("row"), "text")
     if not apart.count():
         apart = sample.select(F.col("toxic").cast("bigint").alias("row"), "text")
@@ -231,7 +254,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int
     y = x.column("row").to_numpy().astype(float)
     # the classes weigh as much as among all labels
     weight = np.where(y == 1, shares[1] / max(1, (y == 1).sum()), shares[0] / max(1, (y == 0).sum())) * len(y) / sum(shares)
-    return model._replace(curve=_curve(np.column_stack((x.column("text_gain"), x.column("stretch_gain"))), y, weight))
+    gains = np.column_stack((x.column("text_gain"), x.column("stretch_gain")))
+    curve = _curve(gains, y, weight)
+    return model._replace(curve=curve, steps=_rising(gains @ curve[:2] + curve[2], y, weight))
 
 
 def _scored(rows: DataFrame, shared) -> DataFrame:
