@@ -35,7 +35,7 @@ HELD_OUT = 2
 _START, _END = np.uint64(1), np.uint64(2)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 _SPREAD = 4            # shards over which the followers of one word are spread
-_TOKENS = 3_000_000    # tokens counted or looked up at once
+_TOKENS = 1_500_000    # tokens counted or looked up at once
 _U = np.uint64
 
 
