@@ -12,7 +12,9 @@ by hash into groups of bounded size which are packed side by side.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,11 +33,19 @@ END_ID = 0
 #: pieces a task packs at once: enough that its last open sequences weigh little
 GROUP_PIECES = 60_000
 #: runs of text a worker remembers the ids of, in each of two generations
-_REMEMBERED = 500_000
+_REMEMBERED = 400_000
 #: texts whose new runs go to the tokenizer together
 _TEXTS = 256
 
 
+def _ids(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class _Encoder:
     """Ids of texts as little-endian bytes, remembering the runs between single spaces.
 
@@ -55,8 +65,7 @@ class _Encoder:
         self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes()
-                for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        return [_ids(e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, runs: set[str]) -> None:
         new = [run for run in runs if run not in self.known]
@@ -104,7 +113,7 @@ def _cuts(total: int, capacity: int) -> list[tuple[int, int]]:
 def _piece_batches(name: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(name)
-        end = np.asarray([END_ID], "<u4").tobytes()
+        end = _ids([END_ID])
         for batch in batches:
             found = []
             for first in range(0, batch.num_rows, _TEXTS):
