@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regista.llm.shipping import ship
-from regista.workspace import run_folder, settle
+from regista.workspace import run_folder
 
 #: bytes of a block beyond which a record is segmented
 SEGMENT_BYTES = 16 << 10
@@ -59,6 +59,13 @@ def dechunked(body: bytes) -> bytes:
         at += size + 2
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written densely to the shared folder and read from there; pages weigh most of what is kept."""
+    path = run_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _record(kind: str, record: str, block: bytes, **fields: object) -> bytes:
     head = [f"WARC-Type: {kind}", f"WARC-Record-ID: <{record}>", f"WARC-Date: {_DATE}"]
     head += [f"WARC-{name.replace('_', '-')}: {value}" for name, value in fields.items() if value is not None]
@@ -114,7 +121,7 @@ def write_archives(pages: DataFrame, folder: str, segment: int = SEGMENT_BYTES,
     rows = pages.select(F.col("page_id").cast("bigint"), F.monotonically_increasing_id().alias("row"),
                         F.col("url").cast("string"), payload.alias("html"), F.sha1(F.encode(payload, "UTF-8")).alias("digest"),
                         F.octet_length(payload).cast("bigint").alias("size"))
-    rows = settle(rows.select("page_id", "row", "url", "html", "digest", "size"))
+    rows = _kept(rows, "pages")
     # the narrow key of each large payload is aggregated before it travels; a payload of very many
     # rows is one row of the result, and the join back may split it
     last = F.max(F.struct(F.col("page_id"), F.col("row"))).alias("last")
@@ -221,7 +228,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
-    parsed = settle(files.mapInArrow(_parse_batches, _PARSED))
+    parsed = _kept(files.mapInArrow(_parse_batches, _PARSED), "records")
     pieces = parsed.where("segment > 0").groupBy("origin").agg(
         F.sort_array(F.collect_set(F.struct("segment", "block"))).alias("segments"),
         F.max("total").alias("total"), F.max("digest").alias("digest"))
