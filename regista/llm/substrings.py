@@ -11,7 +11,8 @@ the smallest hash of its runs of five words, which equal windows share. Smallest
 twice set a bit in a filter of fixed size; a window whose bit is not set cannot repeat. The filter
 decides what is looked at, never what is marked. Within a batch of documents all but the smallest
 document of a window are marked at once, so a passage that most documents share travels once for
-each batch and no group grows with the number of its copies.
+each batch and no group grows with the number of its copies. Marks are dealt by document, into buckets
+whose number is planned from the positions of the input; those made in a batch go there as they are.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ WINDOW = 13
 _SEED_WORDS = 5
 #: bits of the filter: 16 MB on the driver and in each worker, however large the input
 FILTER_BITS = 27
-#: suffixes of a group, counted over all positions (of which a part become suffixes)
+#: suffixes of a group, counted over all positions (of which a part become suffixes); a bucket of
+#: documents has about as many marks at most
 GROUP_SUFFIXES = 1_000_000
 _SYMBOLS = 8                 # words of a suffix that are told apart singly; the rest is one edge
 _LAST = (1 << 63) - 1        # stands for a null doc_id: after all others
@@ -123,7 +125,7 @@ def _filter_slices(shard_bits: int):
 
 
 class _Plan(NamedTuple):
-    """Which windows may repeat, and the group of each prefix of two words.
+    """Which windows may repeat, the group of each prefix of two words, and how many groups and buckets.
 
     Prefixes that fit are packed whole, neighbours together; one that does not has ``splits`` groups
     from its own on, told apart by eight words.
@@ -133,6 +135,7 @@ class _Plan(NamedTuple):
     group: np.ndarray
     splits: np.ndarray
     groups: int
+    buckets: int    # of documents; bucket b is group ``groups + b`` of what batches send
 
 
 def _plan(docs: DataFrame, group_suffixes: int) -> _Plan:
@@ -167,25 +170,40 @@ def _plan(docs: DataFrame, group_suffixes: int) -> _Plan:
             if size > group_suffixes:
                 splits[prefix] = -(-size // group_suffixes)
                 number, filled = number + int(splits[prefix]), 0
-    return _Plan(flags, group_of, splits, number + 1)
+    return _Plan(flags, group_of, splits, number + 1, max(want, -(-int(counts.sum()) // group_suffixes)))
 
 
-def _pack(hi: np.ndarray, lo: np.ndarray, doc: np.ndarray, place: np.ndarray, keys: np.ndarray, digests: np.ndarray) -> bytes:
-    """Suffixes and the documents they are from, in one value; ``doc`` points into keys and digests."""
+def _pack(doc: np.ndarray, place: np.ndarray, keys: np.ndarray, digests: np.ndarray, *edges: np.ndarray) -> bytes:
+    """Places, what belongs to each (``edges``, 64 bits) and the documents they are from, in one value;
+    ``doc`` points into keys and digests."""
     own, doc = np.unique(doc, return_inverse=True)
-    sizes = np.asarray([len(hi), len(own)], "<i8")
-    return b"".join(x.tobytes() for x in (sizes, keys[own], digests[own], hi, lo, doc.astype("<u4"), place.astype("<u4")))
+    sizes = np.asarray([len(doc), len(own)], "<i8")
+    return b"".join(x.tobytes() for x in (sizes, keys[own], digests[own], *edges, doc.astype("<u4"), place.astype("<u4")))
 
 
-def _unpack(raw: pa.BinaryScalar) -> tuple[np.ndarray, ...]:
+def _unpack(raw: pa.BinaryScalar, edges: int = 0) -> tuple[np.ndarray, ...]:
+    """(keys, digests, edges, doc, place)"""
     buffer, at, out = raw.as_buffer(), 16, []
     n, docs = np.frombuffer(buffer, "<i8", 2)
-    for kind, count in (("<i8", docs), ("<i8", docs), ("<u8", n), ("<u8", n), ("<u4", n), ("<u4", n)):
+    for kind, count in (("<i8", docs), ("<i8", docs), *[("<u8", n)] * edges, ("<u4", n), ("<u4", n)):
         out.append(np.frombuffer(buffer, kind, count, at))
         at += out[-1].nbytes
     return tuple(out)
 
 
+def _parts(target: np.ndarray) -> list[np.ndarray]:
+    """The places of each value of ``target``."""
+    by = np.argsort(target, kind="stable")
+    return np.split(by, np.flatnonzero(target[by][1:] != target[by][:-1]) + 1) if len(by) else []
+
+
+def _by_bucket(doc: np.ndarray, place: np.ndarray, keys: np.ndarray, digests: np.ndarray, buckets: int) -> tuple[list[int], list[bytes]]:
+    """Marks as a value for each bucket of documents: (buckets, values)."""
+    target = (mixed(digests.view(np.uint64) ^ mixed(keys.view(np.uint64))) % _U(buckets)).astype(np.int64)[doc]
+    parts = _parts(target)
+    return [int(target[p[0]]) for p in parts], [_pack(doc[p], place[p], keys, digests) for p in parts]
+
+
 def _repeats(hi: np.ndarray, lo: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The subtree of these suffixes: (order, whether a smaller document shares 13 words or more).
 
@@ -206,8 +224,8 @@ def _repeats(hi: np.ndarray, lo: np.ndarray, key: np.ndarray) -> tuple[np.ndarra
 
 def _suffix_batches(plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags, group_of, splits, groups = plan.value
-        for number, batch in enumerate(batches):
+        flags, group_of, splits, groups, buckets = plan.value
+        for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             data, bounds = text_buffer(batch.column(1))
             digests = np.zeros(batch.num_rows, np.int64)
@@ -228,73 +246,41 @@ def _suffix_batches(plan):
                 digests[row] = np.uint64(xxhash.xxh64_intdigest(data[bounds[row]:bounds[row + 1]].tobytes(), 42)).astype(np.int64)
             order, later = _repeats(hi, lo, keys[doc])
             marked, stay = np.sort(order[later]), np.sort(order[~later])
-            none = np.zeros(0, np.uint64)
-            target, payload = [], []
-            if len(marked):
-                target.append(groups + number)
-                payload.append(_pack(none, none, doc[:0], place[:0], keys, digests) + _marks(doc[marked], place[marked], keys, digests))
+            target, payload = _by_bucket(doc[marked], place[marked], keys, digests, buckets)
+            target = [groups + bucket for bucket in target]
             prefix = (hi[stay] >> _U(48)).astype(np.int64)
             group = group_of[prefix] + (mixed(hi[stay]) % splits[prefix].astype(np.uint64)).astype(np.int32)
-            by = np.argsort(group, kind="stable")
-            cuts = np.flatnonzero(np.concatenate(([True], group[by][1:] != group[by][:-1]))) if len(by) else []
-            for part in np.split(by, cuts[1:]) if len(by) else []:
+            for part in _parts(group):
                 own = stay[part]
                 target.append(int(group[part[0]]))
-                payload.append(_pack(hi[own], lo[own], doc[own], place[own], keys, digests))
+                payload.append(_pack(doc[own], place[own], keys, digests, hi[own], lo[own]))
             yield pa.RecordBatch.from_arrays([pa.array(target, pa.int32()), pa.array(payload, pa.binary())], ["group", "payload"])
 
     return run
 
 
-def _marks(doc: np.ndarray, place: np.ndarray, keys: np.ndarray, digests: np.ndarray) -> bytes:
-    return _pack(np.zeros(len(doc), "<u8"), np.zeros(len(doc), "<u8"), doc, place, keys, digests)
-
-
-def _subtree(buckets: int):
+def _subtree(groups: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        """Marks of one group, in a value for each bucket of documents."""
-        keys, digests, doc, place = _marked(table)
-        target = (mixed(digests.view(np.uint64) ^ mixed(keys.view(np.uint64))) % _U(buckets)).astype(np.int64)[doc]
-        by = np.argsort(target, kind="stable")
-        cuts = np.flatnonzero(np.concatenate(([True], target[by][1:] != target[by][:-1]))) if len(by) else []
-        parts = np.split(by, cuts[1:]) if len(by) else []
-        return pa.table({"bucket": pa.array([int(target[p[0]]) for p in parts], pa.int32()),
-                         "marks": pa.array([_marks(doc[p], place[p], keys, digests) for p in parts], pa.binary())})
+        """Marks of one group, in a value for each bucket of documents. Marks made in batches are in their bucket already."""
+        number = table.column("group")[0].as_py()
+        if number >= groups:
+            return pa.table({"bucket": pa.array(np.full(table.num_rows, number - groups, np.int32)), "marks": table.column("payload")})
+        target, marks = _by_bucket(*_marked(table), buckets)
+        return pa.table({"bucket": pa.array(target, pa.int32()), "marks": pa.array(marks, pa.binary())})
 
     return run
 
 
 def _marked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, digests, doc, place): documents of a group, and the suffixes of them that are marked."""
-    keys, digests, his, los, docs, places = [], [], [], [], [], []
-    known = 0
-    ready: list[tuple[np.ndarray, np.ndarray]] = []
-    for raw in table.column("payload"):
-        key, digest, hi, lo, doc, place = _unpack(raw)
-        if not len(hi):                                   # marks made within a batch
-            k, d, _, _, o, p = _unpack(pa.scalar(raw.as_py()[16 + key.nbytes + digest.nbytes:], pa.binary()))
-            keys.append(k)
-            digests.append(d)
-            ready.append((o.astype(np.int64) + known, p))
-            known += len(k)
-            continue
-        keys.append(key)
-        digests.append(digest)
-        his.append(hi)
-        los.append(lo)
-        docs.append(doc.astype(np.int64) + known)
-        places.append(place)
-        known += len(key)
-    key = np.concatenate([np.zeros(0, np.int64), *keys])
-    digest = np.concatenate([np.zeros(0, np.int64), *digests])
-    doc = np.concatenate([np.zeros(0, np.int64), *docs])
-    place = np.concatenate([np.zeros(0, np.uint32), *places])
-    empty = np.zeros(0, np.uint64)
-    order, later = _repeats(np.concatenate([empty, *his]), np.concatenate([empty, *los]), key[doc])
+    """(doc, place, keys, digests): the suffixes of a group that are marked, and the documents of the group."""
+    parts = [_unpack(raw, 2) for raw in table.column("payload")]
+    shift = np.cumsum([0, *[len(p[0]) for p in parts]])
+    key, digest, hi, lo = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    doc = np.concatenate([p[4].astype(np.int64) + s for p, s in zip(parts, shift)])
+    place = np.concatenate([p[5] for p in parts])
+    order, later = _repeats(hi, lo, key[doc])
     marked = order[later]
-    doc = np.concatenate([doc[marked], *[x[0] for x in ready]])
-    place = np.concatenate([place[marked], *[x[1] for x in ready]])
-    return key, digest, doc, place
+    return doc[marked], place[marked], key, digest
 
 
 def _by_document(table: pa.Table) -> pa.Table:
@@ -302,8 +288,8 @@ def _by_document(table: pa.Table) -> pa.Table:
     parts = [_unpack(raw) for raw in table.column("marks")]
     shift = np.cumsum([0, *[len(p[0]) for p in parts]])
     key, digest = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    doc = np.concatenate([p[4].astype(np.int64) + s for p, s in zip(parts, shift)])
-    place = np.concatenate([p[5] for p in parts])
+    doc = np.concatenate([p[2].astype(np.int64) + s for p, s in zip(parts, shift)])
+    place = np.concatenate([p[3] for p in parts])
     by = np.lexsort((place, digest[doc], key[doc]))
     k, d, place = key[doc[by]], digest[doc[by]], place[by].astype("<u4")
     cuts = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1]))))
@@ -317,10 +303,10 @@ def repeats(docs: DataFrame, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     document holds too. Places are word numbers, in little-endian 32-bit lists."""
     ship(docs.sparkSession)
     key, digest, text = row_key()
-    plan = docs.sparkSession.sparkContext.broadcast(tuple(_plan(docs, group_suffixes)))
-    suffixes = docs.select(key.alias("key"), text.alias("text")).mapInArrow(_suffix_batches(plan), "group int, payload binary")
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marks = suffixes.groupBy("group").applyInArrow(_subtree(buckets), "bucket int, marks binary")
+    plan = _plan(docs, group_suffixes)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(plan))
+    suffixes = docs.select(key.alias("key"), text.alias("text")).mapInArrow(_suffix_batches(shared), "group int, payload binary")
+    marks = suffixes.groupBy("group").applyInArrow(_subtree(plan.groups, plan.buckets), "bucket int, marks binary")
     return marks.groupBy("bucket").applyInArrow(_by_document, "key bigint, digest bigint, places binary")
 
 

@@ -1,7 +1,8 @@
 import hashlib
 
 import pytest
-from conftest import words
+from conftest import prose, words
+from pyspark.sql import functions as F
 
 from regista.llm import substrings
 
@@ -58,3 +59,16 @@ def test_a_passage_in_most_documents(frame):
     rows = [(i, f"x{i} {passage} y{i}") for i in range(300)]
     got = {r.doc_id: r.n_removed for r in substrings.removal_digests(frame(rows).repartition(7), 50).collect()}
     assert got == {i: 20 if i else 0 for i in range(300)}
+
+
+def test_marks_made_in_batches_are_dealt_by_document(spark, frame):
+    text = prose(8, 300)
+    docs = frame([(i, text) for i in range(400)]).repartition(20)
+    key, _, body = substrings.row_key()
+    plan = spark.sparkContext.broadcast(tuple(substrings._plan(docs, 1000)))
+    sent = docs.select(key.alias("key"), body.alias("text")).mapInArrow(
+        substrings._suffix_batches(plan), "group int, payload binary")
+    sizes = [r.size for r in sent.groupBy("group").agg(F.sum(F.length("payload")).alias("size")).collect()]
+    assert max(sizes) <= 0.1 * sum(sizes)
+    # 288 marks of eight bytes and a header for each of 399 documents but one in each batch
+    assert sum(sizes) <= 1.3 * 8 * 288 * 400
