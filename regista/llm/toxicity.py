@@ -2,16 +2,18 @@
 
 A bigram model of toxic and one of ordinary texts are counted from labelled rows.
 Both back off to the pairs and words of either class together, weighed by how much likelier their own
-class makes the word. What counts everywhere is the number of different
-contexts, so copies add nothing, and an expression with few contexts in a class is discounted whole:
-it says nothing about the class and is left to the shared counts. A text is scored by the difference
-of its length-normalised log-likelihoods, over the whole text and over its most toxic stretch; a
-logistic curve fitted on labelled rows apart weighs the two, and the rising share of toxic texts
-among these rows turns the weighted sum into a score.
+class makes the word. What counts in the models is the number of different contexts. A text is scored
+by the difference of its length-normalised log-likelihoods, and by its most toxic stretch. There a
+likelihood ratio alone would say as much of a word seen once as of one seen often, so a stretch is
+weighed by how many texts of either class hold its words and pairs, drawn to the shares of the classes
+where these are few; no expression is left out, and later words of a fixed phrase count like others.
+Of near copies in a class one is learned from. A logistic curve fitted on labelled rows apart weighs
+the two, and the rising share of toxic texts among these rows turns the weighted sum into a score.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,17 +24,18 @@ from pyspark.sql import functions as F
 
 from regista.llm.kneser_ney import count_of_counts, discounted, discounts
 from regista.llm.shipping import ship
-from regista.llm.words import mixed, pieces
+from regista.llm.words import mixed, pieces, run_hashes, same_text
 from regista.workspace import settle
 
 #: labelled rows a model is fitted on, for each class: those whose ids hash lowest
 SAMPLE_ROWS = 2000
 #: and the most text of them, so that the model has a bounded size
 SAMPLE_BYTES = 16 << 20
-#: an expression with so few contexts in a class is left to the shared counts: this share of the
-#: class's texts, or as large a share as this many toxic texts are
-RARE_SHARE = 0.05
-RARE_LEAST = 3
+#: texts of either class, in their shares, that are added to those with an expression
+PRIOR_TEXTS = 10
+#: texts of a class are near copies if they share half of so many smallest hashes of three words
+_SKETCH = 16
+_SKETCH_WORDS = 3
 #: words of the stretches compared beside the whole text
 STRETCH = 1
 FOLDS = 5
@@ -52,6 +55,8 @@ class Model(NamedTuple):
     backoff: np.ndarray      # (3, words + 1): weight of what the bigram backs off to, 1 after unknown words
     pairs: np.ndarray        # sorted hashes of two words
     pair_prob: np.ndarray    # (3, pairs + 1): what the bigram itself adds
+    word_sure: np.ndarray    # (words + 1): log ratio of toxic and ordinary texts with the word, drawn to their shares
+    pair_sure: np.ndarray    # (pairs + 1)
     curve: np.ndarray        # weights of (whole text, best stretch, 1)
     steps: np.ndarray        # (2, steps): a weighted sum, and the share of toxic texts at it
     constant: float | None   # the score of every text if a class has no rows
@@ -76,6 +81,15 @@ def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed(first * _PAIR + second)
 
 
+def _first_in_text(keys: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """1 where a key stands for the first time in its text, else 0."""
+    order = np.lexsort((keys, text))      # stable: the first comes first
+    k, t = keys[order], text[order]
+    out = np.zeros(len(keys), np.int32)
+    out[order[np.concatenate(([True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])))]] = 1
+    return out
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
@@ -85,11 +99,44 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 two_before = _histories(before, w.text)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(two_before.view(np.int64)), pa.array(before.view(np.int64)), pa.array(w.hashes.view(np.int64)),
-                     pa.array(toxic[w.first + w.text].astype(np.int32))], ["u", "v", "w", "toxic"])
+                     pa.array(toxic[w.first + w.text].astype(np.int32)),
+                     pa.array(_first_in_text(pair_hashes(before, w.hashes), w.text)), pa.array(_first_in_text(w.hashes, w.text))],
+                    ["u", "v", "w", "toxic", "pair", "word"])
+
+
+def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = [b""] * batch.num_rows
+        for w in pieces(batch.column(1), lower=True):
+            inside = np.flatnonzero(same_text(w.text, _SKETCH_WORDS))
+            runs, text = run_hashes(w.hashes, _SKETCH_WORDS)[inside], w.text[inside]
+            cuts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1]))) if len(text) else []
+            for t, part in zip(text[cuts], np.split(runs, cuts[1:]) if len(text) else []):
+                out[w.first + t] = np.unique(part)[:_SKETCH].tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "sketch"])
+
+
+def _near_copies(sample: DataFrame) -> list[int]:
+    """The doc_ids of a sample that are near copies of another of their class; of each group one is not."""
+    copies: list[int] = []
+    for toxic in (0, 1):
+        found = sample.where(F.col("toxic") == toxic).select("doc_id", "text").mapInArrow(
+            _sketch_batches, "doc_id bigint, sketch binary").toArrow().sort_by("doc_id").to_pylist()
+        holders: dict[int, list[int]] = defaultdict(list)
+        for row in found:
+            sketch = np.frombuffer(row["sketch"], "<u8").tolist()
+            shared = Counter(doc for h in sketch for doc in holders[h])
+            if shared and 2 * max(shared.values()) >= len(sketch):
+                copies.append(row["doc_id"])
+            else:
+                for h in sketch:
+                    holders[h].append(row["doc_id"])
+    return copies
 
 
-def _fit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, rare: tuple[float, float]) -> Model:
-    """``counts`` is (2, pairs): after how many words each pair stands in ordinary and toxic texts."""
+def _fit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, pair_texts: np.ndarray, word_texts: np.ndarray) -> Model:
+    """``counts`` is (2, pairs): after how many words each pair stands in ordinary and toxic texts.
+    ``pair_texts``: how many texts hold it, ``word_texts``: in how many its second word first stands in it."""
     words, own = np.unique(second, return_inverse=True)
     contexts = np.bincount(own)                                  # distinct words before it, in both classes
     left = discounted(contexts, discounts(count_of_counts(contexts)))
@@ -97,15 +144,15 @@ def _fit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, rare: tuple[
     order = np.argsort(pair_hashes(first, second))
     history = _look(words, first)
     word_prob, backoff, pair_prob = [], [], []
-    for c, few in zip((*counts, counts.sum(axis=0)), (*rare, 0.0)):
+    for c in (*counts, counts.sum(axis=0)):
         if len(word_prob) < 2:
             single = np.bincount(own, weights=c > 0, minlength=len(words))
-            left = _specific(single, few)
-            word_prob.append(np.append(left, 0.0) / single.sum() + (1 - left.sum() / single.sum()) * shared)
-            left = _specific(c, few)
+            left = discounted(single, discounts(count_of_counts(single)))
+            many = max(1.0, single.sum())
+            word_prob.append(np.append(left, 0.0) / many + (1 - left.sum() / many) * shared)
         else:
             word_prob.append(shared)
-            left = discounted(c, discounts(count_of_counts(c)))
+        left = discounted(c, discounts(count_of_counts(c)))
         # the start of a text is no word: it has the last place, like histories never seen, and backs off whole
         total = np.bincount(history, weights=c, minlength=len(words) + 1)
         seen = np.bincount(history, weights=left, minlength=len(words) + 1)
@@ -113,19 +160,21 @@ def _fit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, rare: tuple[
         with np.errstate(divide="ignore", invalid="ignore"):
             backoff.append(np.where(total > 0, (total - seen) / total, 1.0))
             pair_prob.append(np.append(np.where(total[history] > 0, left / total[history], 0.0)[order], 0.0))
-    # what a pair adds to both classes alike cancels out, so only pairs that speak for a class are kept
-    speak = np.append((np.asarray(pair_prob)[:2, :-1] > 0).any(axis=0), True)
-    return Model(words, np.asarray(word_prob), np.asarray(backoff), pair_hashes(first, second)[order][speak[:-1]],
-                 np.asarray(pair_prob)[:, speak], np.zeros(3), np.zeros((2, 1)), None)
+    sure = _sure(np.stack([np.bincount(own, weights=t, minlength=len(words)) for t in word_texts]))
+    return Model(words, np.asarray(word_prob), np.asarray(backoff), pair_hashes(first, second)[order],
+                 np.asarray(pair_prob, np.float32), sure, _sure(pair_texts)[np.append(order, -1)].astype(np.float32),
+                 np.zeros(3), np.zeros((2, 1)), None)
 
 
-def _specific(counts: np.ndarray, rare: float) -> np.ndarray:
-    """Class counts less their Kneser-Ney discounts, or less ``rare`` where that is more."""
-    return np.minimum(discounted(counts, discounts(count_of_counts(counts))), np.maximum(counts - rare, 0.0))
+def _sure(texts: np.ndarray) -> np.ndarray:
+    """Log ratio of toxic and ordinary ``texts`` (2, expressions), against all of them; 0 at the end for unknown ones."""
+    share = (texts.sum(axis=1) + 1) / (texts.sum() + 2)
+    ordinary, toxic = (np.log(t / s + PRIOR_TEXTS) for t, s in zip(texts, share))
+    return np.append(toxic - ordinary, 0.0)
 
 
 def _evidence(model: Model, hashes: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
-    """(texts, 2): the difference of log-likelihoods for each word, over a text and its best stretch."""
+    """(texts, 2): the difference of log-likelihoods for each word of a text, and the surest toxic stretch."""
     out = np.zeros((texts, 2))
     if not len(hashes):
         return out
@@ -139,7 +188,7 @@ def _evidence(model: Model, hashes: np.ndarray, text: np.ndarray, texts: int) ->
     many = np.diff(np.append(first, len(text)))
     out[text[first], 0] = np.add.reduceat(gain, first) / many
     # stretches shorter at the end of a text divide by the full length as well
-    sums = np.concatenate(([0.0], np.cumsum(gain)))
+    sums = np.concatenate(([0.0], np.cumsum(np.maximum(model.word_sure[word], model.pair_sure[pair]))))
     ends = np.minimum(np.arange(len(gain)) + STRETCH, np.repeat(first + many, many))
     out[text[first], 1] = np.maximum.reduceat((sums[ends] - sums[:-1]) / STRETCH, first)
     return out
@@ -207,7 +256,8 @@ def _labelled(labels: DataFrame) -> tuple[DataFrame, list[int]]:
 
 
 def _sample(docs: DataFrame, marks: DataFrame, rows: int, most: int) -> DataFrame:
-    """(text, toxic, fit) of at most ``rows`` labelled texts of each class; fit 0 is for the curve."""
+    """(doc_id, text, toxic, fit) of at most ``rows`` labelled texts of each class, one of each group of
+    near copies; fit 0 is for the curve."""
     order = F.xxhash64("doc_id", F.lit("sample"))
     chosen = settle(marks.where("toxic = 0").orderBy(order, "doc_id").limit(rows).unionAll(
         marks.where("toxic <> 0").orderBy(order, "doc_id").limit(rows)))
@@ -215,9 +265,12 @@ def _sample(docs: DataFrame, marks: DataFrame, rows: int, most: int) -> DataFram
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     size = F.sum(F.octet_length("text").cast("bigint")).over(_by_class(order))
-    return settle(found.withColumn("size", size).where(F.col("size") <= most // 2).select(
-        "text", F.when(F.col("toxic") != 0, 1).otherwise(0).alias("toxic"),
+    sample = settle(found.withColumn("size", size).where(F.col("size") <= most // 2).select(
+        "doc_id", "text", F.when(F.col("toxic") != 0, 1).otherwise(0).alias("toxic"),
         (F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(3)) > 0).cast("int").alias("fit")))
+    copies = _near_copies(sample)
+    # at most 2 * rows ids
+    return sample.where(~F.col("doc_id").isin(copies)) if copies else sample
 
 
 def _by_class(order: Column):
@@ -235,17 +288,18 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int
     empty = np.zeros(0, np.uint64)
     if len(classes) < 2:
         none = np.zeros((3, 1))
-        return Model(empty, none, none, empty, none, np.zeros(3), none[:2], 0.0)
+        return Model(empty, none, none, empty, none, none[0], none[0], np.zeros(3), none[:2], 0.0)
     counted = sample.where("fit = 1").select("text", "toxic").mapInArrow(
-        _count_batches, "u bigint, v bigint, w bigint, toxic int").distinct()
-    pairs = counted.groupBy("v", "w").agg(F.count(F.when(F.col("toxic") == 0, 1)).alias("a"),
-                                          F.count(F.when(F.col("toxic") == 1, 1)).alias("b")).toArrow()
-    v, w, a, b = (pairs.column(c).to_numpy() for c in ("v", "w", "a", "b"))
+        _count_batches, "u bigint, v bigint, w bigint, toxic int, pair int, word int").groupBy("u", "v", "w", "toxic").agg(
+        F.sum("pair").alias("pair"), F.sum("word").alias("word"))
+    by_class = [F.when(F.col("toxic") == c, F.col(x)) for x in ("u", "pair", "word") for c in (0, 1)]
+    pairs = counted.groupBy("v", "w").agg(*[
+        F.coalesce(F.count(x) if i < 2 else F.sum(x), F.lit(0)).cast("int").alias(f"n{i}") for i, x in enumerate(by_class)]).toArrow()
+    v, w, *counts = (column.to_numpy() for column in pairs.columns)
     if not len(v):
         none = np.zeros((3, 1))
-        return Model(empty, none, none, empty, none, np.zeros(3), none[:2], 0.0)
-    model = _fit(v.view(np.uint64), w.view(np.uint64), np.stack((a, b)),
-                 tuple(max(RARE_SHARE, RARE_LEAST / classes[1]) * classes[c] for c in (0, 1)))
+        return Model(empty, none, none, empty, none, none[0], none[0], np.zeros(3), none[:2], 0.0)
+    model = _fit(v.view(np.uint64), w.view(np.uint64), *(np.stack(counts[i:i + 2]) for i in (0, 2, 4)))
     apart = sample.where("fit = 0").select(F.col("toxic").cast("bigint").alias("row"), "text")
     if not apart.count():
         apart = sample.select(F.col("toxic").cast("bigint").alias("row"), "text")

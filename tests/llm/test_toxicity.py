@@ -68,3 +68,47 @@ def test_without_both_classes(frame, labels, marks):
 
 def test_empty_table(frame, labels):
     assert toxicity.score(frame([]), labels([(1, 1), (2, 0)])).count() == 0
+
+
+def _few_seen(n, add):
+    rows, marks = [], []
+    for i in range(n):
+        text, toxic = prose(5000 + i, 40, 3000).split(), int(i % 3 == 0)
+        if toxic:
+            add(text, i // 3)
+        rows.append((i, " ".join(text)))
+        marks.append((i, toxic))
+    return rows, marks
+
+
+def _rare_words(text, i):
+    """Two of 200 words: each is in one of a hundred toxic texts."""
+    for k in (2 * i, 2 * i + 1):
+        text.insert(k % 37, f"rude{k % 200}")
+
+
+def _fixed_phrase(text, i):
+    """Ordinary words, then words that always follow them."""
+    text[i % 37:i % 37] = "w1 w2 w3 mizzle frump".split()
+
+
+@pytest.mark.parametrize("add,n", [(_rare_words, 5400), (_fixed_phrase, 900)])
+def test_learns_expressions_of_few_texts_or_contexts(frame, labels, add, n):
+    rows, marks = _few_seen(n, add)
+    got = [r for r in toxicity.score(frame(rows), labels(marks)).collect() if r.held_out]
+    wrong = [r.doc_id for r in got if r.predicted != int(r.doc_id % 3 == 0)]
+    assert len(wrong) <= 0.03 * len(got)
+
+
+def test_near_copies_speak_once(frame, labels):
+    rows, marks = _rows(420)
+    story = prose(9, 80, 10**6).split()
+    for i in range(60):      # copies of one story, all labelled toxic, with words changed
+        copy = list(story)
+        for k in range(4):
+            copy[(17 * i + 19 * k) % 80] = f"changed{i}x{k}"
+        rows.append((1000 + i, " ".join(copy + [RUDE[i % 3]])))
+        marks.append((1000 + i, 1))
+    rows.append((2000, " ".join(story)))
+    got = {r.doc_id: r.predicted for r in toxicity.score(frame(rows), labels(marks)).collect()}
+    assert got[2000] == 0 and sum(got[i] != int(i % 4 == 0) for i in range(420)) <= 4
