@@ -31,6 +31,8 @@ from regista.workspace import settle
 SAMPLE_ROWS = 2000
 #: and the most text of them, so that the model has a bounded size
 SAMPLE_BYTES = 16 << 20
+#: no text over this part of these bytes (512 KB) is learned from, so that none fills its class; it is scored whole
+LONGEST_PART = 32
 #: texts of either class, in their shares, that are added to those with an expression
 PRIOR_TEXTS = 10
 #: texts of a class are near copies if they share half of so many smallest hashes of three words
@@ -257,17 +259,26 @@ def _labelled(labels: DataFrame) -> tuple[DataFrame, list[int]]:
 
 def _sample(docs: DataFrame, marks: DataFrame, rows: int, most: int) -> DataFrame:
     """(doc_id, text, toxic, fit) of at most ``rows`` labelled texts of each class, one of each group of
-    near copies; fit 0 is for the curve."""
+    near copies; fit 0 is for the curve.
+
+    Texts over a part of ``most`` bytes are left out, each by itself. Where that leaves nothing of a class, it is an error.
+    """
     order = F.xxhash64("doc_id", F.lit("sample"))
     chosen = settle(marks.where("toxic = 0").orderBy(order, "doc_id").limit(rows).unionAll(
         marks.where("toxic <> 0").orderBy(order, "doc_id").limit(rows)))
     # at most 2 * rows rows are broadcast
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    size = F.sum(F.octet_length("text").cast("bigint")).over(_by_class(order))
-    sample = settle(found.withColumn("size", size).where(F.col("size") <= most // 2).select(
-        "doc_id", "text", F.when(F.col("toxic") != 0, 1).otherwise(0).alias("toxic"),
+    own = F.octet_length("text").cast("bigint")
+    size = F.sum(F.when(own <= most // LONGEST_PART, own).otherwise(0)).over(_by_class(order))
+    taken = F.coalesce((own <= most // LONGEST_PART) & (F.col("size") <= most // 2), F.lit(False))
+    found = settle(found.withColumn("size", size).select(
+        "doc_id", F.when(taken, F.col("text")).alias("text"), F.when(F.col("toxic") != 0, 1).otherwise(0).alias("toxic"),
         (F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(3)) > 0).cast("int").alias("fit")))
+    taken = {r["toxic"]: r["taken"] for r in found.groupBy("toxic").agg(F.count("text").alias("taken")).collect()}
+    if len(taken) == 2 and not all(taken.values()):
+        raise ValueError(f"labelled texts of both classes, but of one only texts over {most // LONGEST_PART} bytes: {taken} (toxic: texts taken)")
+    sample = found.where(F.col("text").isNotNull())
     copies = _near_copies(sample)
     # at most 2 * rows ids
     return sample.where(~F.col("doc_id").isin(copies)) if copies else sample
@@ -284,7 +295,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int
     ship(docs.sparkSession)
     marks, shares = _labelled(labels)
     sample = _sample(docs, marks, rows, most)
-    classes = {r["toxic"]: r["count"] for r in sample.where("fit = 1").groupBy("toxic").count().collect()}
+    classes = {r["toxic"]: r["fit"] for r in sample.groupBy("toxic").agg(F.sum("fit").alias("fit")).collect()}
+    if len(classes) == 2 and not all(classes.values()):       # few rows: all are for the models
+        sample = sample.withColumn("fit", F.lit(1))
     empty = np.zeros(0, np.uint64)
     if len(classes) < 2:
         none = np.zeros((3, 1))
@@ -322,7 +335,8 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int
 
     Null texts count as empty; an empty text has no evidence either way and gets the score of none.
     Rows with a null doc_id are scored and not held out. Conflicting labels of a document count as
-    toxic; null labels do not count. Without labelled rows of both classes every score is 0. Repeated rows give repeated results, an empty table none.
+    toxic; null labels do not count. Without labelled rows of both classes every score is 0;
+    if one class has only texts too long to learn from, that is an error. Repeated rows give repeated results, an empty table none.
     """
     model = train(docs, labels, rows, most)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))

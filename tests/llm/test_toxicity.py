@@ -112,3 +112,20 @@ def test_near_copies_speak_once(frame, labels):
     rows.append((2000, " ".join(story)))
     got = {r.doc_id: r.predicted for r in toxicity.score(frame(rows), labels(marks)).collect()}
     assert got[2000] == 0 and sum(got[i] != int(i % 4 == 0) for i in range(420)) <= 4
+
+
+def test_a_very_long_text_costs_one_sample_row(spark, frame, labels):
+    rows, marks = _rows()
+    first = {c: spark.createDataFrame([(d,) for d, t in marks if t == c and not _held_out(d)], "doc_id bigint").selectExpr(
+        "doc_id", "xxhash64(doc_id, 'sample') AS at").orderBy("at").first().doc_id for c in (0, 1)}
+    rows = [(d, f"{t} " * 1000 if d in first.values() else t) for d, t in rows]
+    got = toxicity.score(frame(rows), labels(marks), most=1 << 19).collect()
+    wrong = [r.doc_id for r in got if r.predicted != int(r.doc_id % 4 == 0)]
+    assert len(got) == len(rows) and len(wrong) <= 4
+
+
+def test_a_class_of_too_long_texts_is_an_error(frame, labels):
+    rows, marks = _rows(60)
+    rows = [(d, f"{t} " * 1000 if d % 4 == 0 else t) for d, t in rows]
+    with pytest.raises(ValueError, match="over 16384 bytes"):
+        toxicity.score(frame(rows), labels(marks), most=1 << 19)
