@@ -12,6 +12,7 @@ by hash into groups of bounded size which are packed side by side.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from array import array
@@ -36,6 +37,9 @@ GROUP_PIECES = 60_000
 _REMEMBERED = 400_000
 #: texts whose new runs go to the tokenizer together
 _TEXTS = 256
+#: where a text is cut in any case, and a space that is no such place
+_RUNS = re.compile(r"(?<=\S)(?= )")
+_JOINED = re.compile(r"\s ")
 
 
 def _ids(ids: list[int]) -> bytes:
@@ -47,11 +51,11 @@ def _ids(ids: list[int]) -> bytes:
 
 
 class _Encoder:
-    """Ids of texts as little-endian bytes, remembering the runs between single spaces.
+    """Ids of texts as little-endian bytes, remembering the runs between spaces.
 
-    The byte-level pre-tokenizer never joins what stands before a space with the space itself, save
-    in runs of spaces. A text without two spaces in a row may thus be encoded run by run, each run
-    beginning with its space; other texts are encoded whole.
+    The byte-level pre-tokenizer joins a space (U+0020) with what stands before it only if that is
+    white space, of any kind. A text may thus be encoded run by run, each beginning with a space that
+    follows something else. Where no space follows white space, these are all spaces.
     """
 
     def __init__(self, name: str):
@@ -85,17 +89,16 @@ class _Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         split, runs = [], set()
         for text in texts:
-            if "  " in text:
-                split.append(None)
-                continue
-            head, *rest = text.split(" ")
-            own = [head, *[" " + run for run in rest]]
+            if _JOINED.search(text):
+                own = _RUNS.split(text)
+            else:
+                head, *rest = text.split(" ")
+                own = [head, *[" " + run for run in rest]]
             runs.update(own)
             split.append(own)
         self._learn(runs)
         known = self.known
-        return [self._encode([text])[0] if own is None else b"".join([known[run] for run in own])
-                for text, own in zip(texts, split)]
+        return [b"".join([known[run] for run in own]) for own in split]
 
 
 @lru_cache(maxsize=1)

@@ -27,6 +27,17 @@ def test_remembered_runs_give_the_tokenizer_s_ids(model, awkward_rows, monkeypat
             assert encode([text]) == [ids]
 
 
+_SPACES = [c for c in map(chr, range(0x3100)) if c.isspace() or c in "\u180e\u200b"]
+
+
+@pytest.mark.parametrize("space", _SPACES, ids=[f"{ord(c):04x}" for c in _SPACES])
+def test_white_space_of_any_kind_is_joined_as_the_tokenizer_joins_it(model, space):
+    encode = packing._Encoder(packing.TOKENIZER)
+    forms = ["a{0} {0} b", "a {0} {0} b", "a{0} b", "a {0}b", "a {0} ", "{0} {0} {0} {0} b", " {0}{0} b {0} {0} {0} {0}.", "a{0} ", "  {0}  b's {0} 1"]
+    texts = [f.format(s) for f in forms for s in (space, space * 2, space + "\u00a0", "\n" + space)]
+    assert encode(texts) == [np.asarray(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_every_piece_is_packed_whole(frame, model, awkward_rows, capacity):
     got = packing.pack_documents(frame(awkward_rows, clash=True), capacity).collect()
