@@ -101,6 +101,7 @@ def is_main(tree: Node, features: tuple[float, ...]) -> bool:
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"|<(?:svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*/>"
     r"|<(script|style|noscript|template|svg|math|textarea|select|button|iframe|object|title|canvas|audio|video)\b[^>]*>"
     r".*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S | re.I)
@@ -113,10 +114,17 @@ _HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _KEPT_OPEN = _BLOCK - frozenset("p li dd dt tr td th option hr".split()) - _HEADING
 _ASIDE_TAGS = frozenset(("nav", "footer", "aside", "form", "dialog", "menu", "head"))
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_ASIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|masthead|menu|modal|nav|"
+_ASIDE_WORD = (
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|masthead|menu|modal|nav|"
     r"navbar|navigation|newsletter|notices?|pagination|pager|popup|promo|related|replies|reply|respond|share|sharing|sidebar|"
-    r"social|sponsor(?:ed)?|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+    r"social|sponsor(?:ed)?|subscribe|toolbar|widget)")
+#: whole names only: such a word, several of them, or a name that says what stands there; ``has-sidebar`` says it of a page
+_ASIDE_NAME = re.compile(
+    rf"(?:^|\s)(?:{_ASIDE_WORD}(?:[_-]+{_ASIDE_WORD})*|comments?-(?:list|area|form|section)|widget-area|(?:share|sharing|social)-(?:bar|"
+    r"buttons?|icons?|links?)|related-(?:articles|content|links|posts|stories)|newsletter-(?:box|form|signup)|"
+    r"(?:main|page|primary|site|top)-(?:footer|menu|nav|navigation|sidebar))(?:$|\s)", re.I)
+#: what holds a page's text is named for the page, not for itself
+_NEVER_BY_NAME = frozenset(("html", "body", "main", "article"))
 _ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 
 
@@ -127,7 +135,9 @@ def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
-        if name == "role" and value.lower() in _ASIDE_ROLES or name in ("class", "id") and _ASIDE_NAME.search(value):
+        if name == "role" and value.lower() in _ASIDE_ROLES:
+            return True
+        if name in ("class", "id") and tag not in _NEVER_BY_NAME and _ASIDE_NAME.search(value):
             return True
     return False
 
@@ -163,7 +173,7 @@ def blocks(page: str) -> list[Block]:
         at = token.end()
         tag = token[3]
         if tag is None:
-            if token[1]:
+            if token[1] or token[0][1] in "SsMm":
                 parts.append((" ", False))
             continue
         tag, closing = tag.lower(), bool(token[2])

@@ -48,3 +48,18 @@ def test_every_row_has_a_result(spark):
     long = " ".join(["long"] * 60000)
     assert got == sorted([(1, "u", TEXT, len(TEXT))] * 2 + [(2, None, "", 0), (None, "v", long, len(long))], key=str)
     assert extraction.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='single has-sidebar'><article class='post comments-open'><p>{0}</p></article></body>",
+    "<html class='sidebar' id='menu'><body class='no-sidebar widget'><main class='comments'><p>{0}</p></main></body></html>",
+    "<body class=sidebar><div class='no-sidebar has-related'><article id='share'><p>{0}</p></article></div></body>",
+    "<article><p>{0}</p><div class='cookie-notice'><p>{0}</p></div><div id=c class='x comment-list'><p>{0}</p></div></article>"])
+def test_names_of_a_page_drop_none_of_its_text(tree, page):
+    body = "one two three " * 9 + "end"
+    assert extraction.main_text(tree, page.format(body)) == body
+
+
+@pytest.mark.parametrize("drawing", ['<svg class="i"/>', "<SVG viewBox='0 > 1' />", "<math/>", '<svg class="i"><path d="M0"/></svg>'])
+def test_a_drawing_ends_where_it_closes(tree, drawing):
+    assert extraction.main_text(tree, f"<article><p>one {drawing} two</p><p>three {drawing}</p></article>") == "one two three"
