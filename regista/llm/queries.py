@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regista.llm import (
-    decontamination, extraction, importance, ngram_lm, packing, prefix_trie, rules, sharding, simhash, substrings, toxicity, warc,
+    decontamination, extraction, importance, language_id, ngram_lm, packing, prefix_trie, rules, sharding, simhash, substrings,
+    toxicity, warc,
 )
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +90,11 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
 
 
+@_query()
+def op13_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
