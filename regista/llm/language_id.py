@@ -35,6 +35,8 @@ LANGUAGE_ROWS = 500
 LONGEST_SAMPLED = 32 << 10
 #: of the sample's rows one in so many is for the temperature
 APART = 5
+#: hashes ranked for each row wanted, about
+_MARGIN = 8
 FOLDS = 4
 HELD_OUT = 2
 UNKNOWN = "und"
@@ -239,13 +241,16 @@ def _row(text: str, idf: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarr
 
 def _sample(labelled: DataFrame, rows: int, per_language: int, longest_bytes: int) -> DataFrame:
     """Labelled rows, ``rows`` at most; each language gets an even share. Equal texts of a language count once."""
-    n = labelled.select("lang").distinct().count()
-    share = max(1, min(per_language, rows // max(1, n)))
     order = F.xxhash64("text", F.lit("sample"))
     able = labelled.where(F.octet_length("text") <= longest_bytes)
     digests = able.select("lang", order.alias("h")).distinct()
+    held = settle(digests.groupBy("lang").agg(F.count("*").alias("n")))
+    share = max(1, min(per_language, rows // max(1, held.count())))
+    # of each language the lowest hashes, some times as many as wanted, are all that is ranked
+    part = F.shiftright("h", 1).cast("double") / 2.0 ** 62
+    few = digests.join(held, "lang").where(part < -1 + 2.0 * _MARGIN * share / F.col("n"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = settle(digests.withColumn("place", first).where(F.col("place") <= share).orderBy("place", "lang").limit(rows).drop("place"))
+    chosen = settle(few.withColumn("place", first).where(F.col("place") <= share).orderBy("place", "lang").limit(rows).select("lang", "h"))
     # at most ``rows`` rows are broadcast
     return able.withColumn("h", order).join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
