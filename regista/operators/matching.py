@@ -1,14 +1,15 @@
 """Free-text place names to official codes by token overlap within a county.
 
-The best match of a name depends only on its county and its text, so each distinct (county, text)
-pair is matched once and joined back to the rows. Pairs with equal token sets share one search.
-
-No name is compared with all names of its county. A token is frequent in a county if more than a
-fixed number of official names there hold it. A pair that shares an infrequent token meets on it,
-and as each such token has a bounded list, a name meets a bounded number of candidates. Any other
-pair shares frequent tokens only: official names are reduced to their sets of frequent tokens, one
-row per county and set with its smallest code, and each distinct set of the wanted names is scored
-against these. The better of the two is the best match, whatever the length of a name.
+The best match of a name depends only on its county and its set of tokens, so rows are first reduced to
+one for each county and set, on both sides; an official set keeps its smallest code.
+
+No name is compared with all names of its county. A key is a few tokens of a set, taken in one order for
+the county: rarest first. A key that at most a fixed number of official sets hold is rare. Names that
+share it meet the sets behind it one by one. A key that more of them hold is frequent: it answers at once with
+its number of tokens and the smallest code behind it, and grows by each later token of the sets that hold
+it. What a name shares with its best match is either a frequent key, whose answer is then exact, or
+begins with a rare key, over which the two meet. So the search is exact for any number and length of names,
+and a name meets a bounded number of sets for each of its keys.
 """
 
 from collections.abc import Sequence
@@ -17,22 +18,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regista.functions.text import split_tokens, token_key
+from regista.workspace import settle
 
-#: official names of a county that may hold a token before it counts as frequent there
+#: official sets of tokens that may hold a key before it counts as frequent
 FREQUENT = 32
 
 
-def _frequent_sets(names: DataFrame, key: str, frequent: DataFrame) -> DataFrame:
-    """``names`` with ``frequent_tokens``: their tokens that are frequent in their county, sorted."""
-    held = (
-        names.select("county", key, F.explode("tokens").alias("token"))
-        .join(frequent, ["county", "token"])
-        .groupBy("county", key)
-        .agg(F.array_sort(F.collect_set("token")).alias("frequent_tokens"))
-    )
-    return names.join(held, ["county", key], "left").withColumn(
-        "frequent_tokens", F.coalesce("frequent_tokens", F.array().cast("array<string>"))
-    )
+def _by_rarity(sets: DataFrame) -> DataFrame:
+    """``sets`` with ``ordered``: their tokens that official sets of the county hold, rarest first."""
+    single = sets.select("county", "tokens", "official", "best", F.explode("tokens").alias("token"))
+    spread = single.where("official").groupBy("county", "token").agg(F.count("*").alias("names"))
+    return single.join(spread, ["county", "token"]).groupBy("county", "tokens", "official").agg(
+        F.array_sort(F.collect_list(F.struct("names", "token"))).alias("known"), F.first("best").alias("best")).select(
+        "county", "tokens", "official", "best", F.col("known.token").alias("ordered"))
+
+
+def _first_keys(sets: DataFrame) -> DataFrame:
+    """One row for each token of a set; ``last`` is the place of its key's last token in the order."""
+    rest = ("county", "tokens", "official", "best", "ordered")
+    return sets.select(*rest, F.posexplode("ordered").alias("last", "token")).select(*rest, "last", F.array("token").alias("key"))
+
+
+def _grown(keys: DataFrame) -> DataFrame:
+    """Each row once for each later token of its set, which the key takes in."""
+    later = F.slice("ordered", F.col("last") + 2, F.greatest(F.size("ordered") - F.col("last") - 1, F.lit(0)))
+    rest = ("county", "tokens", "official", "best", "ordered")
+    return keys.select(*rest, "key", F.col("last").alias("at"), F.posexplode(later).alias("step", "token")).select(
+        *rest, (F.col("at") + F.col("step") + 1).alias("last"), F.concat("key", F.array("token")).alias("key"))
+
+
+def _counted(keys: DataFrame) -> DataFrame:
+    """The rows of keys that both sides hold, with the official sets behind a key and the best of them."""
+    behind = keys.groupBy("county", "key").agg(
+        F.count_if("official").alias("names"), F.min(F.when(F.col("official"), F.col("best"))).alias("answer"),
+        F.bool_or(~F.col("official")).alias("sought")).where("sought AND names > 0").drop("sought")
+    return keys.join(behind, ["county", "key"])
+
+
+def _best_by_keys(sets: DataFrame, frequent: int) -> DataFrame:
+    """(county, tokens, top): for each sought set that shares a token with an official one, the best match.
+
+    ``top`` is (minus the shared tokens, best). There are as many rounds as the longest frequent key has
+    tokens, and one more; each is written once.
+    """
+    keys = _first_keys(_by_rarity(sets))
+    found: list[DataFrame] = []
+    while True:
+        round_ = settle(_counted(keys))
+        rare, often = round_.where(F.col("names") <= frequent), round_.where(F.col("names") > frequent)
+        behind = rare.where("official").select("county", "key", F.col("tokens").alias("held"), "best")
+        met = rare.where("NOT official").select("county", "tokens", "key").join(behind, ["county", "key"])
+        found.append(met.select("county", "tokens", F.struct(
+            (-F.size(F.array_intersect("tokens", "held"))).alias("rank"), "best").alias("top")))
+        found.append(often.where("NOT official").select("county", "tokens", F.struct(
+            (-F.size("key")).alias("rank"), F.col("answer").alias("best")).alias("top")))
+        if often.isEmpty():
+            break
+        keys = _grown(often)
+    every = found[0]
+    for part in found[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("county", "tokens").agg(F.min("top").alias("top"))
 
 
 def match_places(
@@ -55,68 +101,28 @@ def match_places(
         names.where(F.col(county).isNotNull())
         .select(F.col(county).alias("county"), F.col(place).alias("place"))
         .distinct()
-        .withColumn("place_key", token_key(F.col("place")))
-    )
-    wanted = (
-        pairs.select("county", "place_key").distinct()
-        .withColumn("tokens", split_tokens(F.col("place_key")))
+        .withColumn("tokens", split_tokens(token_key(F.col("place"))))
     )
     best = F.struct(
         F.col(code).isNull().alias("no_code"), F.col(code).alias("code"),
         *[F.col(c).alias(c) for c in carry],
     )
-    official = (
+    official = settle(
         catalog.where(F.col(catalog_county).isNotNull())
-        .select(
-            F.col(catalog_county).alias("county"),
-            token_key(F.col(catalog_name)).alias("name_key"),
-            best.alias("best"),
-        )
-        .groupBy("county", "name_key")
-        .agg(F.min("best").alias("best"))
-        .withColumn("tokens", split_tokens(F.col("name_key")))
-    )
-
-    tokens = official.select("county", "name_key", F.explode("tokens").alias("token"))
-    spread = tokens.groupBy("county", "token").agg(F.count("*").alias("names"))
-
-    # pairs that share an infrequent token, scored over all their tokens
-    rare = tokens.join(spread.where(F.col("names") <= frequent), ["county", "token"]).drop("names")
-    candidates = (
-        wanted.select("county", "place_key", F.explode("tokens").alias("token"))
-        .join(rare, ["county", "token"])
-        .select("county", "place_key", "name_key")
-        .distinct()
-    )
-    met = (
-        candidates.join(wanted.withColumnRenamed("tokens", "place_tokens"), ["county", "place_key"])
-        .join(official, ["county", "name_key"])
-        .select("county", "place_key", "best",
-                F.size(F.array_intersect("place_tokens", "tokens")).alias("overlap"))
-    )
-
-    # all other pairs share frequent tokens at most
-    common = spread.where(F.col("names") > frequent).select("county", "token")
-    sets = (
-        _frequent_sets(official, "name_key", common)
-        .groupBy("county", F.col("frequent_tokens").alias("held"))
+        .select(F.col(catalog_county).alias("county"), split_tokens(token_key(F.col(catalog_name))).alias("tokens"), best.alias("best"))
+        .groupBy("county", "tokens")
         .agg(F.min("best").alias("best"))
     )
-    seeking = _frequent_sets(wanted, "place_key", common)
-    by_set = (
-        seeking.select("county", "frequent_tokens").distinct().join(sets, "county")
-        .groupBy("county", "frequent_tokens")
-        .agg(F.min(F.struct((-F.size(F.array_intersect("frequent_tokens", "held"))).alias("rank"), "best")).alias("top"))
-    )
-    by_frequent = seeking.join(by_set, ["county", "frequent_tokens"]).select("county", "place_key", "top")
-
-    top = (
-        met.select("county", "place_key", F.struct((-F.col("overlap")).alias("rank"), "best").alias("top"))
-        .unionByName(by_frequent)
-        .groupBy("county", "place_key")
-        .agg(F.min("top").alias("top"))
-    )
-    return pairs.join(top, ["county", "place_key"]).select(
+    sought = pairs.select("county", "tokens", F.lit(None).cast(official.schema["best"].dataType).alias("best")).distinct()
+    matched = _best_by_keys(
+        official.withColumn("official", F.lit(True)).unionByName(sought.withColumn("official", F.lit(False))), frequent)
+
+    # the smallest code of the county stands in for names that share nothing
+    smallest = official.groupBy("county").agg(F.min("best").alias("smallest"))
+    nothing = F.struct(F.lit(0).alias("rank"), F.col("smallest").alias("best"))
+    top = pairs.join(smallest, "county").join(matched, ["county", "tokens"], "left").withColumn(
+        "top", F.coalesce("top", nothing))
+    return top.select(
         F.col("county").alias(county),
         F.col("place").alias(place),
         F.col("top.best.code").alias(code),

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from regista.operators.matching import attach_places, match_places
@@ -102,6 +103,29 @@ def test_long_names_with_common_words_meet_few_candidates(spark):
     assert large <= 5 * small
 
 
+def test_a_county_of_frequent_words_only(spark):
+    """A hundred thousand names in one county, every word in hundreds of them: no name meets them all."""
+    words, n = 60, 100_000
+    rng = random.Random(8)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    spelt = [f"w{i:02d}".translate(letters) for i in range(words)]
+    picked = [sorted(rng.sample(range(words), rng.randint(3, 6))) for _ in range(n)]
+    names = [sorted(rng.sample(range(words), rng.randint(1, 7))) for _ in range(200)]
+    official = spark.createDataFrame(
+        [(f"{i:06d}", " ".join(spelt[w] for w in held), "A", "A") for i, held in enumerate(picked)],
+        "codi string, nom string, codi_comarca string, nom_comarca string")
+    wanted = spark.createDataFrame([("A", " ".join(spelt[w] for w in held)) for held in names], "comarca string, municipi string")
+    matched = match_places(wanted, official)
+    got = {r["municipi"]: (r["codi"], r["tokens_similar"]) for r in matched.collect()}
+    holds = np.zeros((n, words), np.int8)
+    for i, held in enumerate(picked):
+        holds[i, held] = 1
+    for held in names:
+        shared = holds[:, held].sum(axis=1)
+        assert got[" ".join(spelt[w] for w in held)] == (f"{int(shared.argmax()):06d}", int(shared.max()))
+    assert max(_join_rows(matched)) < len({tuple(h) for h in names}) * n / 20
+
+
 def _join_rows(df):
     """Output rows of every join and explode in the plan that ran."""
     counts = []
