@@ -2,7 +2,8 @@
 
     landing/<dataset>/downloaded_date=…  ->  staging/<dataset>  ->  marts/<dataset>  ->  serving/
 
-Every job replaces what it writes, so a job that failed half-way is simply run again. A job checks
+Every job replaces what it writes, by one rename when all of it is written, so a job that failed half-way
+leaves what was there and is simply run again. A job checks
 what it is about to publish first: where a check fails, what was published before stays as it is.
 Tables settled on the way are deleted when the job ends.
 """
@@ -62,9 +63,9 @@ def stage_register(spark: SparkSession, base: str, catalogs: str, downloaded_dat
         staged = settle(staging_register(raw, *read_catalogs(spark, catalogs)))
         require_distinct_preserved(raw, "registre", staged, "social_service_register_id")
         target = f"{base}/staging/{REGISTER}"
-        tables.write_partition(staged, target, PARTITION, downloaded_date)
-        written = tables.read_partition(spark, target, PARTITION, downloaded_date, STAGING_REGISTER)
-        tables.append_audit(written, f"{REGISTER}/{downloaded_date}", f"{base}/audit")
+        tables.write_audited(
+            staged, f"{REGISTER}/{downloaded_date}", f"{base}/audit",
+            lambda df, seen: tables.write_partition(df, target, PARTITION, downloaded_date, seen))
 
 
 def build_capacity_mart(spark: SparkSession, base: str, downloaded_date: str) -> None:
@@ -72,9 +73,9 @@ def build_capacity_mart(spark: SparkSession, base: str, downloaded_date: str) ->
     staged = tables.read_partition(
         spark, f"{base}/staging/{REGISTER}", PARTITION, downloaded_date, STAGING_REGISTER
     )
-    target = f"{base}/marts/{CAPACITY}"
-    tables.write_parquet_snappy(capacity_mart(staged), target)
-    tables.append_audit(spark.read.schema(CAPACITY_MART).parquet(target), CAPACITY, f"{base}/audit")
+    tables.write_audited(
+        capacity_mart(staged), CAPACITY, f"{base}/audit",
+        lambda df, seen: tables.replace_table(df, f"{base}/marts/{CAPACITY}", seen))
 
 
 def build_population(spark: SparkSession, base: str, announced: Iterable[int] | None = None) -> None:
@@ -90,9 +91,8 @@ def build_population(spark: SparkSession, base: str, announced: Iterable[int] |
         if announced is not None:
             years = spark.createDataFrame([(int(y),) for y in announced], "year bigint")
             require_members(years, decoded.select("year").distinct(), "year")
-        tables.write_parquet_snappy(decoded, staged)
+        tables.write_audited(decoded, CENSUS, f"{base}/audit", lambda df, seen: tables.replace_table(df, staged, seen))
     tables.publish_mart(spark, staged, f"{base}/marts/{CENSUS}")
-    tables.append_audit(spark.read.schema(POPULATION).parquet(staged), CENSUS, f"{base}/audit")
 
 
 def build_boundaries(shapes_by_level: dict[str, DataFrame], base: str) -> None:
@@ -104,7 +104,7 @@ def build_boundaries(shapes_by_level: dict[str, DataFrame], base: str) -> None:
         if level not in BOUNDARY_LEVELS:
             raise ValueError(f"unknown boundary level {level}")
         staged = f"{base}/staging/{BOUNDARIES}/{level}"
-        tables.write_parquet_snappy(boundary_features(shapes, level), staged)
+        tables.replace_table(boundary_features(shapes, level), staged)
         tables.publish_mart(shapes.sparkSession, staged, f"{base}/marts/{BOUNDARIES}/{level}")
 
 
@@ -122,8 +122,8 @@ def build_serving(
     The calendar runs from ``first`` to ``last``, by default to the last year of the data. Rows
     outside it are in no panel or coverage table; ``audit_outside_calendar`` says how many.
     """
-    population = spark.read.schema(POPULATION).parquet(f"{base}/marts/{CENSUS}")
-    mart = spark.read.schema(CAPACITY_MART).parquet(f"{base}/marts/{CAPACITY}")
+    population = tables.read_table(spark, f"{base}/marts/{CENSUS}", POPULATION)
+    mart = tables.read_table(spark, f"{base}/marts/{CAPACITY}", CAPACITY_MART)
     last = calendar_last(population, mart) if last is None else last
     with scratch(spark):
         outside_calendar(population, mart, first, last).withColumn(

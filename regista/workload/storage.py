@@ -15,7 +15,7 @@ from regista.plans.staging import build_catalogs, staging_population
 from regista.schemas import CAPACITY_MART, CENSUS_CUBE
 from regista.sources import catalogs, tables
 from regista.sources.landing import PARTITION, read_landing_json
-from regista.streaming.landing import append_new_landing, landing_stream
+from regista.streaming.landing import follow_landing, landing_stream
 from regista.workload import roles
 from regista.workload.documents import CUBE_SQL, census_cubes
 from regista.workload.registry import Tables, query
@@ -38,10 +38,10 @@ def _text_schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _landed_register(t: Tables) -> str:
+def _landed_register(t: Tables, keys_per_page: int = 100_000) -> str:
     """Orders landed as a register is: JSON array pages of eight-digit names in dated folders.
 
-    A page covers a thousand order keys, so it is small; the pages are named by their offset.
+    A page covers so many order keys, some megabytes; the pages are named by their offset.
     """
     folder = run_folder(t.spark, "landing")
     texts = {
@@ -56,7 +56,7 @@ def _landed_register(t: Tables) -> str:
     }
     records = t.orders.select(
         F.date_format("o_orderdate", "yyyy").alias("year"),
-        page_file_name(F.floor(F.col("o_orderkey") / 1000) * 1000).alias("page"),
+        page_file_name(F.floor(F.col("o_orderkey") / keys_per_page) * keys_per_page).alias("page"),
         F.struct(*[c.alias(n) for n, c in texts.items()]).alias("record"),
     )
     pages = records.groupBy("year", "page").agg(F.to_json(F.collect_list("record")).alias("text"))
@@ -96,11 +96,13 @@ def landing_json_scan(t: Tables) -> DataFrame:
 
 
 @query(with_ctes(_REGISTER_ROWS, select="""
-SELECT registre, municipi FROM register WHERE downloaded_date IN ('19960101', '19980101')"""))
+SELECT registre, municipi FROM register"""))
 def record_pages(t: Tables) -> DataFrame:
-    """The pages of two dated folders as one table of records."""
+    """The pages of all dated folders, each a path of its own, as one table of records."""
     landed = _landed_register(t)
-    paths = [f"{landed}/{PARTITION}={day}" for day in ("19960101", "19980101")]
+    files = t.spark._jvm.org.apache.hadoop.fs
+    system = files.Path(landed).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    paths = sorted(d.getPath().toString() for d in system.listStatus(files.Path(landed)))
     return catalogs.read_record_pages(t.spark, paths, _text_schema("registre", "municipi"))
 
 
@@ -110,7 +112,7 @@ SELECT strftime(o_orderdate, '%Y') || '0101/' || repeat('0', greatest(0, 8 - len
 FROM (SELECT o_orderdate, CAST((o_orderkey // 1000) * 1000 AS VARCHAR) AS o FROM orders) GROUP BY 1""")
 def landing_rows_per_file(t: Tables) -> DataFrame:
     """A10: rows of each landed file, told apart by folder and name."""
-    landing = read_landing_json(t.spark, _landed_register(t))
+    landing = read_landing_json(t.spark, _landed_register(t, 1000))
     named = F.regexp_extract(F.col("_metadata.file_path"), rf"{PARTITION}=(\d+/\d+\.json)$", 1)
     return landing.groupBy(named.alias("page")).agg(F.count("*").alias("row_count"))
 
@@ -165,7 +167,7 @@ def partition_rewrite(t: Tables) -> DataFrame:
         T.StructField("o_custkey", T.LongType()),
         T.StructField("order_year", T.StringType()),
     ])
-    return t.spark.read.schema(schema).parquet(base).groupBy("order_year").agg(
+    return tables.read_table(t.spark, base, schema, "order_year").groupBy("order_year").agg(
         F.count("*").alias("row_count"), F.sum("o_custkey").alias("checksum")
     )
 
@@ -264,7 +266,7 @@ def publish_mart(t: Tables) -> DataFrame:
     folder = run_folder(t.spark, "mart")
     tables.write_parquet_snappy(roles.mart(t), f"{folder}/staging")
     tables.publish_mart(t.spark, f"{folder}/staging", f"{folder}/marts")
-    return t.spark.read.parquet(f"{folder}/marts")
+    return tables.read_table(t.spark, f"{folder}/marts")
 
 
 def _served(t: Tables, name: str) -> DataFrame:
@@ -345,11 +347,12 @@ SELECT 'capacity_mart' AS dataset, COUNT(*) AS row_count,
        'service_qualification_id,service_type_id,comarca_id,municipal_id,year,month,total_capacit'
          AS columns FROM mart"""))
 def sink_audit(t: Tables) -> DataFrame:
-    """The audit row of a written mart."""
+    """The audit row of a written mart, counted while it is written."""
     folder = run_folder(t.spark, "audit")
     names = [f.name for f in CAPACITY_MART.fields]
-    tables.write_parquet_snappy(roles.mart(t).select(*names), f"{folder}/mart")
-    tables.append_audit(t.spark.read.parquet(f"{folder}/mart"), "capacity_mart", f"{folder}/audit")
+    tables.write_audited(
+        roles.mart(t).select(*names), "capacity_mart", f"{folder}/audit",
+        lambda df, seen: tables.replace_table(df, f"{folder}/mart", seen))
     return t.spark.read.parquet(f"{folder}/audit").select("dataset", "row_count", "columns")
 
 
@@ -358,17 +361,23 @@ SELECT registre, tipologia, inscripcio, capacitat, municipi, nullif(qualificacio
        CASE WHEN comarca = 'Val d''Aran' THEN 'Aran' ELSE comarca END AS comarca, downloaded_date
 FROM register"""))
 def incremental_landing(t: Tables) -> DataFrame:
-    """Register pages land in two waves; the second run must read the second wave only."""
+    """Register pages land in two waves; the second wave also brings the first date's pages again."""
     landed = _landed_register(t)
     folder = run_folder(t.spark, "incremental")
     files = t.spark._jvm.org.apache.hadoop.fs
-    system = files.Path(landed).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    configuration = t.spark._jsc.hadoopConfiguration()
+    system = files.Path(landed).getFileSystem(configuration)
     system.mkdirs(files.Path(f"{folder}/landing"))
     days = sorted((d.getPath() for d in system.listStatus(files.Path(landed))), key=lambda p: p.getName())
     for wave in (days[::2], days[1::2]):
         for day in wave:
             system.rename(day, files.Path(f"{folder}/landing/{day.getName()}"))
+        if wave and wave[0] != days[0]:
+            again = files.Path(f"{folder}/landing/{days[0].getName()}")
+            for page in system.listStatus(again):
+                copy = files.Path(again, f"9{page.getPath().getName()[1:]}")
+                files.FileUtil.copy(system, page.getPath(), system, copy, False, configuration)
         stream = landing_stream(t.spark, f"{folder}/landing")
-        append_new_landing(stream, f"{folder}/clean", f"{folder}/progress").awaitTermination()
+        follow_landing(stream, f"{folder}/landing", f"{folder}/clean", f"{folder}/progress").awaitTermination()
     columns = ("registre", "tipologia", "inscripcio", "capacitat", "municipi", "comarca", "qualificacio")
-    return t.spark.read.schema(_text_schema(*columns, PARTITION)).parquet(f"{folder}/clean")
+    return tables.read_table(t.spark, f"{folder}/clean", _text_schema(*columns, PARTITION), PARTITION)

@@ -6,7 +6,7 @@ from regista import schemas
 from regista.operators.quality import DataQualityError
 from regista.plans import jobs
 from regista.plans.staging import build_catalogs
-from regista.sources.tables import SERVING_ORDER, in_serving_order
+from regista.sources.tables import SERVING_ORDER, in_serving_order, read_serving_json, read_table
 
 RESIDENCE = "Servei de residència assistida per a gent gran de caràcter temporal o permanent"
 PUBLIC = "Entitat d'iniciativa pública"
@@ -43,12 +43,12 @@ def test_landing_to_serving(spark, tmp_path, rows):
         land(landing / jobs.REGISTER / f"downloaded_date={date}", "00000000.json", page)
         jobs.stage_register(spark, base, catalogs, date)
         jobs.stage_register(spark, base, catalogs, date)
-    staged = spark.read.parquet(f"{base}/staging/{jobs.REGISTER}")
+    staged = read_table(spark, f"{base}/staging/{jobs.REGISTER}")
     assert staged.groupBy("downloaded_date").count().count() == 2
     assert staged.count() == 4
 
     jobs.build_capacity_mart(spark, base, "20250808")
-    assert rows(spark.read.parquet(f"{base}/marts/{jobs.CAPACITY}"), "municipal_id", "year", "total_capacit") == [
+    assert rows(read_table(spark, f"{base}/marts/{jobs.CAPACITY}"), "municipal_id", "year", "total_capacit") == [
         ("080193", 2010, 10), ("080193", 2012, 5), ("252430", 2012, 4),
     ]
 
@@ -59,7 +59,7 @@ def test_landing_to_serving(spark, tmp_path, rows):
                           "MUN": {"category": {"index": ["080193", "252430", "T"]}}},
         })
     jobs.build_population(spark, base)
-    assert spark.read.parquet(f"{base}/marts/{jobs.CENSUS}").count() == 4
+    assert read_table(spark, f"{base}/marts/{jobs.CENSUS}").count() == 4
 
     audit = spark.read.parquet(f"{base}/audit").orderBy("processed_at")
     assert [tuple(r) for r in audit.select("dataset", "row_count").collect()] == [
@@ -69,14 +69,14 @@ def test_landing_to_serving(spark, tmp_path, rows):
     ]
 
     jobs.build_serving(spark, base, catalogs)
-    cover = spark.read.json(f"{base}/serving/comarca_coverage")
+    cover = read_serving_json(spark, f"{base}/serving", "comarca_coverage")
     assert rows(cover.where("year in (2010, 2011, 2012, 2025)"), "comarca_id", "year", "coverage_ratio") == [
         ("13", 2010, None), ("13", 2011, 10.0), ("13", 2012, 15.0), ("13", 2025, 7.5),
         ("39", 2012, 40.0), ("39", 2025, 40.0),
     ]
-    served = spark.read.schema(schemas.MUNICIPALS).json(f"{base}/serving/municipal")
+    served = read_serving_json(spark, f"{base}/serving", "municipal", schemas.MUNICIPALS)
     assert rows(served, "codi", "nom") == [("080193", "Barcelona"), ("252430", "Vielha e Mijaran")]
-    panel = spark.read.json(f"{base}/serving/social_services_empty_last_year")
+    panel = read_serving_json(spark, f"{base}/serving", "social_services_empty_last_year")
     order = SERVING_ORDER["social_services_empty_last_year"]
     in_order = [tuple(r[c] for c in order)
                 for r in in_serving_order("social_services_empty_last_year", panel).collect()]
@@ -96,7 +96,7 @@ def test_boundaries(spark, tmp_path, rows):
     )
     jobs.build_boundaries({"comarques": shapes, "municipis": shapes}, str(tmp_path))
     for level, name, value in (("comarques", "comarca_id", "13"), ("municipis", "municipal_id", "080193")):
-        out = spark.read.parquet(f"{tmp_path}/marts/{jobs.BOUNDARIES}/{level}")
+        out = read_table(spark, f"{tmp_path}/marts/{jobs.BOUNDARIES}/{level}")
         assert json.loads(out.first()["feature"]) == {
             "id": "0", "type": "Feature", "properties": {name: value},
             "geometry": {"type": "Point", "coordinates": [3.0, 0.0]},
@@ -114,13 +114,13 @@ def test_a_failed_check_leaves_the_old_partition(spark, tmp_path, rows, monkeypa
     land(folder, "00000000.json", [record("S00001", "2010-01-01", "10", "Barcelona", "Barcelonès")])
     jobs.stage_register(spark, base, catalogs, "20250801")
     target = f"{base}/staging/{jobs.REGISTER}"
-    before = rows(spark.read.parquet(target))
+    before = rows(read_table(spark, target))
     land(folder, "00001000.json", [record("S00002", "2011-01-01", "20", "Barcelona", "Barcelonès")])
     whole = jobs.staging_register
     monkeypatch.setattr(jobs, "staging_register", lambda *args: whole(*args).where("capacity < 15"))
     with pytest.raises(DataQualityError, match="distinct ids before 2, after 1"):
         jobs.stage_register(spark, base, catalogs, "20250801")
-    assert rows(spark.read.parquet(target)) == before
+    assert rows(read_table(spark, target)) == before
     monkeypatch.undo()
     land(folder, "00002000.json", [{**record("S00003", "2011-01-01", "20", "Barcelona", "Barcelonès"), "tipologia": f"unknown {i}"}
                                    for i in range(30)])
@@ -128,7 +128,7 @@ def test_a_failed_check_leaves_the_old_partition(spark, tmp_path, rows, monkeypa
         jobs.stage_register(spark, base, catalogs, "20250801")
     path = str(error.value).split("all of them in ")[1].split(": (")[0]
     assert spark.read.parquet(path).count() == 30
-    assert rows(spark.read.parquet(target)) == before
+    assert rows(read_table(spark, target)) == before
 
 
 def test_announced_years_must_land(spark, tmp_path):
@@ -138,7 +138,7 @@ def test_announced_years_must_land(spark, tmp_path):
     jobs.build_population(spark, str(tmp_path), announced=[2011])
     with pytest.raises(DataQualityError, match="1 values of year did not land, 2021 to 2021"):
         jobs.build_population(spark, str(tmp_path), announced=[2011, 2021])
-    assert spark.read.parquet(f"{tmp_path}/marts/{jobs.CENSUS}").count() == 1
+    assert read_table(spark, f"{tmp_path}/marts/{jobs.CENSUS}").count() == 1
 
 
 def test_empty_catalog_stops_before_any_snapshot(spark, tmp_path):
@@ -157,12 +157,12 @@ def test_years_outside_the_calendar(spark, tmp_path, rows):
     spark.createDataFrame(mart, schemas.CAPACITY_MART).write.parquet(f"{base}/marts/{jobs.CAPACITY}")
     spark.createDataFrame([("080193", 100, 1000, 2001)], schemas.POPULATION).write.parquet(f"{base}/marts/{jobs.CENSUS}")
     jobs.build_serving(spark, base, catalogs, measure_type="bigint")
-    cover = spark.read.json(f"{base}/serving/municipal_coverage")
+    cover = read_serving_json(spark, f"{base}/serving", "municipal_coverage")
     assert rows(cover.where("year in (2000, 2025, 2026)"), "year", "total_capacit") == [(2000, 2), (2025, 2), (2026, 9)]
     outside = spark.read.parquet(f"{base}/audit_outside_calendar")
     assert rows(outside, "dataset", "year", "row_count") == [("mart", 1970, 1)]
     jobs.build_serving(spark, base, catalogs, first=1970, last=2026)
-    cover = spark.read.json(f"{base}/serving/municipal_coverage")
+    cover = read_serving_json(spark, f"{base}/serving", "municipal_coverage")
     assert rows(cover.where("year in (1970, 2026)"), "year", "total_capacit") == [(1970, 4), (2026, 13)]
     assert spark.read.parquet(f"{base}/audit_outside_calendar").count() == 1
 

@@ -33,13 +33,13 @@ def test_publish_serving_csv_and_audit(spark, tmp_path, rows):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "k string, v int")
     tables.write_parquet_snappy(df, f"{tmp_path}/staging")
     tables.publish_mart(spark, f"{tmp_path}/staging", f"{tmp_path}/marts")
-    assert rows(spark.read.parquet(f"{tmp_path}/marts")) == rows(df)
+    assert rows(tables.read_table(spark, f"{tmp_path}/marts")) == rows(df)
     tables.write_serving_json({"t": df}, f"{tmp_path}/serving")
     assert rows(tables.read_serving_json(spark, f"{tmp_path}/serving", "t", df.schema)) == rows(df)
     tables.write_csv_distinct(df, "k", f"{tmp_path}/csv")
     assert rows(spark.read.option("header", True).csv(f"{tmp_path}/csv")) == [("a",), ("b",)]
     for dataset in ("marts", "again"):
-        tables.append_audit(spark.read.parquet(f"{tmp_path}/marts"), dataset, f"{tmp_path}/audit")
+        tables.append_audit(tables.read_table(spark, f"{tmp_path}/marts"), dataset, f"{tmp_path}/audit")
     audit = spark.read.parquet(f"{tmp_path}/audit")
     assert rows(audit, "dataset", "row_count", "columns") == [("again", 3, "k,v"), ("marts", 3, "k,v")]
     assert audit.where("processed_at is null").count() == 0
@@ -115,7 +115,47 @@ def test_an_empty_partition_replaces_the_old_rows(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "n int, day string")
     tables.write_partition(rows, base, "day")
     tables.write_partition(rows.limit(0).drop("day"), base, "day", "a")
-    left = spark.read.schema(rows.schema).parquet(base)
+    left = tables.read_table(spark, base, rows.schema, "day")
     assert [tuple(r) for r in left.collect()] == [(2, "b")]
     tables.write_partition(rows.limit(1).drop("day"), base, "day", "a")
-    assert spark.read.schema(rows.schema).parquet(base).count() == 2
+    assert tables.read_table(spark, base, rows.schema, "day").count() == 2
+
+
+def test_serving_files_are_in_serving_order(spark, tmp_path):
+    import glob
+
+    many = spark.range(5000).selectExpr("CAST(id * 7919 % 5000 AS STRING) AS municipal_id", "CAST(id % 40 AS INT) AS year", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_serving_json({"municipal_coverage": many}, f"{tmp_path}/serving")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(glob.glob(f"{tmp_path}/serving/data/*/municipal_coverage/part-*.json"))
+    found = [json.loads(line) for f in files for line in open(f, encoding="utf-8")]
+    keys = [(r["municipal_id"], r["year"]) for r in found]
+    assert len(files) >= 3 and len(keys) == 5000
+    assert keys == sorted(keys)
+
+
+def test_a_sink_is_counted_while_written(spark, tmp_path, rows):
+    df = spark.range(1000).repartition(5)
+    assert tables.write_audited(df, "n", f"{tmp_path}/audit", lambda d, seen: tables.replace_table(d, f"{tmp_path}/t", seen)) == 1000
+    assert tables.write_audited(df.limit(0), "none", f"{tmp_path}/audit", lambda d, seen: tables.replace_table(d, f"{tmp_path}/t", seen)) == 0
+    assert rows(spark.read.parquet(f"{tmp_path}/audit"), "dataset", "row_count", "columns") == [("n", 1000, "id"), ("none", 0, "id")]
+
+
+def test_a_failed_write_is_not_recorded(spark, tmp_path):
+    def failing(df, seen):
+        raise OSError("disk full")
+
+    with pytest.raises(OSError):
+        tables.write_audited(spark.range(3), "n", f"{tmp_path}/audit", failing)
+    assert not (tmp_path / "audit").exists()
+
+
+def test_a_partitioned_sink_is_counted_by_the_tasks_that_write(spark, tmp_path):
+    df = spark.range(500).selectExpr("id", "CAST(id % 7 AS STRING) AS day")
+    seen = tables.Observation()
+    tables.write_partition(df, f"{tmp_path}/t", "day", seen=seen)
+    assert seen.get == {"row_count": 500}
+    assert tables.read_table(spark, f"{tmp_path}/t").count() == 500
