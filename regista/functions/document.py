@@ -21,10 +21,13 @@ def json_path(c: Column, path: str, as_type: str = "string") -> Column:
     number for instance) and text that is no JSON fail the job, in any ANSI mode.
     """
     found = F.variant_get(F.parse_json(c), path, "variant")
-    kind = F.regexp_replace(F.schema_of_variant(found), r"\(.*", "")
+    kind = F.schema_of_variant(found)
+    plain = [k for k in _JSON_TYPES[as_type] if k != "DECIMAL"]
+    fits = kind.isin(*plain) | kind.startswith("DECIMAL(") if "DECIMAL" in _JSON_TYPES[as_type] else kind.isin(*plain)
     wrong = F.raise_error(F.concat(F.lit(f"{path} is no {as_type}: "), c)).cast(as_type)
+    # the same expression everywhere, so a row is parsed once
     return F.when(found.isNull() | F.is_variant_null(found), F.lit(None).cast(as_type)).when(
-        kind.isin(*_JSON_TYPES[as_type]), F.variant_get(F.parse_json(c), path, as_type)
+        fits, found.cast(as_type)
     ).otherwise(wrong)
 
 

@@ -60,22 +60,21 @@ def series_sum(df: DataFrame, series: Sequence[str], year: str, measure: str) ->
     return df.groupBy(*series, year).agg(F.sum(F.col(measure).cast("bigint")).alias(measure))
 
 
-#: most values :func:`distinct_list` gathers; more are an error
-LISTED_VALUES = 100_000
-
-
-def distinct_list(df: DataFrame, column: str, most: int = LISTED_VALUES) -> DataFrame:
+def distinct_list(df: DataFrame, column: str, most: int | None = None) -> DataFrame:
     """The distinct values as one sorted array; for columns of few values, such as years.
 
-    Values are made distinct before they are gathered, so the array holds each one once and no
-    task ever sees the repeated rows. They are counted first: more than ``most`` fail the job
-    before anything is gathered.
+    Values are made distinct before they are gathered, so the array holds each one once and no task
+    ever sees the repeated rows. An array is one row: a column whose values grow with the data is
+    better read as the rows of ``select(column).distinct()``. With ``most``, more values fail the job before anything is
+    gathered.
     """
     values = df.select(column).distinct()
-    counted = values.agg(F.count("*").alias("n"))
-    too_many = F.raise_error(F.concat(F.lit(f"{column} has more than {most} distinct values: "), F.col("n").cast("string")))
-    checked = counted.select(F.when(F.col("n") > most, too_many.cast("boolean")).otherwise(True).alias("ok"))
-    return values.where(checked.scalar()).agg(F.array_sort(F.collect_list(column)).alias("values"))
+    if most is not None:
+        counted = values.agg(F.count("*").alias("n"))
+        too_many = F.raise_error(F.concat(F.lit(f"{column} has more than {most} distinct values: "), F.col("n").cast("string")))
+        checked = counted.select(F.when(F.col("n") > most, too_many.cast("boolean")).otherwise(True).alias("ok"))
+        values = values.where(checked.scalar())
+    return values.agg(F.array_sort(F.collect_list(column)).alias("values"))
 
 
 def all_match(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
