@@ -11,11 +11,9 @@ by hash into groups of bounded size which are packed side by side.
 
 from __future__ import annotations
 
+import json
 import os
-import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,29 +31,43 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: pieces a task packs at once: enough that its last open sequences weigh little
 GROUP_PIECES = 60_000
-#: runs of text a worker remembers the ids of, in each of two generations
-_REMEMBERED = 400_000
-#: texts whose new runs go to the tokenizer together
-_TEXTS = 256
-#: where a text is cut in any case, and a space that is no such place
-_RUNS = re.compile(r"(?<=\S)(?= )")
-_JOINED = re.compile(r"\s ")
 
 
-def _ids(ids: list[int]) -> bytes:
-    """Ids as little-endian 32-bit numbers."""
-    numbers = array("I", ids)
-    if sys.byteorder == "big":
-        numbers.byteswap()
-    return numbers.tobytes()
+def _byte_characters() -> dict[str, int]:
+    """The character by which a byte-level vocabulary spells each byte: itself if printable, else the next from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(others)}
+
+
+def _merging(path: str):
+    """The same vocabulary for the faster merging engine, or None where it would merge in another order.
+
+    That engine merges the pair of the lowest id first, the file's merges are in an order of their own.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    model, split = content["model"], content.get("pre_tokenizer") or {}
+    spelt = _byte_characters()
+    merged = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    alike = (
+        model["type"] == "BPE" and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        and not split.get("add_prefix_space") and not content.get("normalizer") and not model.get("ignore_merges")
+        and None not in merged and all(a < b for a, b in zip(merged, merged[1:])) and all(set(t) <= spelt.keys() for t in model["vocab"]))
+    if not alike:
+        return None
+    ranks = {bytes(spelt[c] for c in token): number for token, number in model["vocab"].items()}
+    return tiktoken.Encoding("merging", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 class _Encoder:
-    """Ids of texts as little-endian bytes, remembering the runs between spaces.
+    """The ids that ``encode(text, add_special_tokens=False)`` of the tokenizer file gives.
 
-    The byte-level pre-tokenizer joins a space (U+0020) with what stands before it only if that is
-    white space, of any kind. A text may thus be encoded run by run, each beginning with a space that
-    follows something else. Where no space follows white space, these are all spaces.
+    Texts are merged whole by the faster engine. A text with the string of a special token, or with a stretch of
+    white space too long for that engine, goes to the tokenizer itself.
     """
 
     def __init__(self, name: str):
@@ -63,42 +75,18 @@ class _Encoder:
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(name if os.path.sep in name else public_tokenizers.path(name))
-        self.model.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [_ids(e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, runs: set[str]) -> None:
-        new = [run for run in runs if run not in self.known]
-        if len(self.known) + len(new) > _REMEMBERED:
-            self.known, self.older = {}, self.known
-            new = list(runs)
-        unseen = []
-        for run in new:
-            ids = self.older.get(run)
-            if ids is None:
-                unseen.append(run)
-            else:
-                self.known[run] = ids
-        if unseen:
-            self.known.update(zip(unseen, self._encode(unseen)))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split, runs = [], set()
-        for text in texts:
-            if _JOINED.search(text):
-                own = _RUNS.split(text)
-            else:
-                head, *rest = text.split(" ")
-                own = [head, *[" " + run for run in rest]]
-            runs.update(own)
-            split.append(own)
-        self._learn(runs)
-        known = self.known
-        return [b"".join([known[run] for run in own]) for own in split]
+        path = name if os.path.sep in name else public_tokenizers.path(name)
+        self.model = Tokenizer.from_file(str(path))
+        self.merging = _merging(str(path))
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+
+    def __call__(self, text: str) -> np.ndarray:
+        if self.merging and not any(s in text for s in self.special):
+            try:
+                return self.merging.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+            except ValueError:                # its splitting gave up
+                pass
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 @lru_cache(maxsize=1)
@@ -116,15 +104,13 @@ def _cuts(total: int, capacity: int) -> list[tuple[int, int]]:
 def _piece_batches(name: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(name)
-        end = _ids([END_ID])
+        end = np.array([END_ID], "<u4")
         for batch in batches:
             found = []
-            for first in range(0, batch.num_rows, _TEXTS):
-                texts = [t or "" for t in batch.column(1).slice(first, _TEXTS).to_pylist()]
-                for row, ids in enumerate(encode(texts), first):
-                    ids += end
-                    found += [(row, number, s, e - s, zlib.crc32(ids[4 * s:4 * e]))
-                              for number, (s, e) in enumerate(_cuts(len(ids) // 4, capacity))]
+            for row, text in enumerate(batch.column(1)):
+                ids = np.concatenate((encode(text.as_py() or ""), end))
+                found += [(row, number, s, e - s, zlib.crc32(ids[s:e]))
+                          for number, (s, e) in enumerate(_cuts(len(ids), capacity))]
             rows, number, start, length, crc = np.asarray(found, np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows)), pa.array(number.astype(np.int32)), pa.array(start),
@@ -220,9 +206,10 @@ def _schema(df: DataFrame) -> str:
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of ``docs``.
 
-    Null text counts as empty and gives one piece, the end id. Repeated rows are packed as often as
-    they come, null doc_ids stay null, an empty table gives no pieces. Sequence numbers are unique
-    but not dense; offsets run from 0 without gaps.
+    Null text counts as empty and gives one piece, the end id. Texts of any length are encoded whole, one at a
+    time. Repeated rows are packed as often as they come, null doc_ids stay null, an empty table gives no
+    pieces; other columns are not looked at. Among gaps that change the sum alike the smallest is filled; pieces of equal ids may
+    change places. Sequence numbers are unique but not dense; offsets run from 0 without gaps.
     """
     ship(docs.sparkSession)
     return pack(settle(pieces(docs, capacity, tokenizer)), capacity)

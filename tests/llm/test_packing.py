@@ -11,20 +11,38 @@ from regista.llm import packing
 
 @pytest.fixture(scope="module")
 def model():
-    m = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    m.encode_special_tokens = True
-    return m
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
 
 
-def test_remembered_runs_give_the_tokenizer_s_ids(model, awkward_rows, monkeypatch):
-    texts = [t or "" for _, t in awkward_rows] + [" a", "a ", "a \n b", "a\n\n b c", "  x", "it's 12 %%% ok", "a\n  b", "  x y"]
+def plain(model, text):
+    """The contract's call."""
+    return model.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_are_those_of_the_tokenizer(model, awkward_rows):
+    texts = [t or "" for _, t in awkward_rows] + [" a", "a ", "a \n b", "a\n\n b c", "  x", "it's 12 %%% ok", "a\n  b", "  x y"]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "  <|endoftext|>\n<|endoftext|>x", "<|endoftext", "日本語 текст ʼn ﬁ \U0001F600"]
     encode = packing._Encoder(packing.TOKENIZER)
-    want = [np.asarray(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-    assert encode(texts) == want
-    monkeypatch.setattr(packing, "_REMEMBERED", 50)
-    for _ in range(2):
-        for text, ids in zip(texts, want):
-            assert encode([text]) == [ids]
+    assert encode.merging is not None
+    for text in texts:
+        assert encode(text).tolist() == plain(model, text)
+    assert encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+
+
+@pytest.mark.parametrize("text", [" " * 300_000 + "x", "\n" * 300_000, "ab" * 200_000, "." * 100_000, "é 1" * 100_000], ids=range(5))
+def test_stretches_of_one_kind(model, text):
+    assert packing._Encoder(packing.TOKENIZER)(text).tolist() == plain(model, text)
+
+
+def test_characters_of_all_planes(model):
+    encode = packing._Encoder(packing.TOKENIZER)
+    for first in [*range(0, 0x3100, 64), *range(0x3100, 0x110000, 64 * 61)]:
+        text = "".join(f"a{c}b {c}1{c} {c}{c}'s{c} \t {c}\n" for c in map(chr, range(first, min(first + 64, 0x110000))) if not "\ud800" <= c <= "\udfff")
+        assert encode(text).tolist() == plain(model, text)
+
+
+def test_a_file_of_another_kind_is_left_to_the_tokenizer():
+    assert packing._merging(str(public_tokenizers.path("word_bpe_49k.json"))) is None
 
 
 _SPACES = [c for c in map(chr, range(0x3100)) if c.isspace() or c in "\u180e\u200b"]
@@ -35,7 +53,7 @@ def test_white_space_of_any_kind_is_joined_as_the_tokenizer_joins_it(model, spac
     encode = packing._Encoder(packing.TOKENIZER)
     forms = ["a{0} {0} b", "a {0} {0} b", "a{0} b", "a {0}b", "a {0} ", "{0} {0} {0} {0} b", " {0}{0} b {0} {0} {0} {0}.", "a{0} ", "  {0}  b's {0} 1"]
     texts = [f.format(s) for f in forms for s in (space, space * 2, space + "\u00a0", "\n" + space)]
-    assert encode(texts) == [np.asarray(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [encode(t).tolist() for t in texts] == [plain(model, t) for t in texts]
 
 
 @pytest.mark.parametrize("capacity", [16, 2048])
