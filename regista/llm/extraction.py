@@ -40,7 +40,10 @@ LABELLED = (
     (2, 1.0, 40, 0.0, 0, 0.0, 1.0, 0, 0, 1), (3, 1.0, 60, 0.0, 50, 0.0, 1.0, 0, 0, 1), (6, 0.8, 40, 0.0, 30, 0.0, 1.0, 0, 0, 1),
     (25, 1.0, 30, 0.0, 40, 0.0, 1.0, 0, 0, 1), (10, 0.9, 0, 0.0, 50, 0.0, 1.0, 0, 0, 1), (4, 0.75, 50, 0.0, 0, 0.0, 1.0, 0, 0, 1),
     (1, 1.0, 80, 0.0, 70, 0.1, 1.0, 0, 0, 1), (15, 1.0, 60, 0.2, 0, 0.0, 1.0, 0, 0, 1), (7, 1.0, 0, 0.0, 45, 0.0, 1.0, 0, 1, 1),
-    (50, 0.1, 3, 1.0, 2, 1.0, 1.0, 0, 0, 1), (12, 0.4, 4, 0.9, 3, 1.0, 1.0, 0, 0, 1), (5, 0.6, 3, 0.5, 4, 0.6, 1.0, 0, 0, 1),
+    (3, 1.0, 0, 0.0, 20, 0.0, 1.0, 0, 1, 1), (2, 1.0, 0, 0.0, 25, 0.0, 1.0, 0, 0, 1), (5, 1.0, 0, 0.0, 60, 0.0, 1.0, 0, 1, 1),
+    (3, 0.7, 0, 0.0, 22, 0.0, 1.0, 0, 0, 1), (50, 0.1, 3, 1.0, 2, 1.0, 1.0, 0, 0, 1), (12, 0.4, 4, 0.9, 3, 1.0, 1.0, 0, 0, 1), (5, 0.6, 3, 0.5, 4, 0.6, 1.0, 0, 0, 1),
+    (3, 0.0, 2, 1.0, 40, 0.0, 1.0, 0, 0, 1), (4, 0.0, 20, 0.0, 3, 1.0, 1.0, 0, 0, 1), (5, 0.0, 3, 1.0, 3, 1.0, 1.0, 0, 0, 1),
+    (1, 0.0, 4, 1.0, 3, 1.0, 1.0, 0, 1, 1), (4, 0.0, 0, 0.0, 2, 1.0, 1.0, 0, 1, 1), (3, 0.0, 2, 1.0, 0, 0.0, 1.0, 0, 0, 1),
     # inside an article but none of it: lists of links
     (2, 1.0, 80, 0.0, 3, 1.0, 1.0, 0, 0, 0), (4, 1.0, 80, 0.0, 5, 1.0, 1.0, 0, 0, 0), (3, 1.0, 2, 1.0, 3, 1.0, 1.0, 0, 0, 0),
     (6, 1.0, 5, 1.0, 40, 0.0, 1.0, 0, 0, 0), (6, 0.95, 5, 1.0, 0, 0.0, 1.0, 0, 0, 0), (9, 1.0, 7, 1.0, 8, 1.0, 1.0, 0, 0, 0),

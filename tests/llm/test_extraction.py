@@ -81,6 +81,8 @@ MORE = "Nobody had seen the water so high since the bridge was built, and the ol
     (f"<article><p>{LONG}</p><ul><li><a href=1>One story</a><li><a href=2>Two stories</a><li><a href=3>Three</a></ul><p>{MORE}</p></article>",
      f"{LONG} {MORE}"),
     (f"<article><a href=x><h3>A linked title</h3></a><p>{LONG}</p></article>", f"A linked title {LONG}"),
+    (f"<article><p>{LONG}</p><p><a href=1>Part one</a></p><p>Thank you all.</p><p><a href=2>Part two</a></p></article>",
+     f"{LONG} Part one Thank you all. Part two"),
     # references are decoded part by part
     (f"<article><p>R&<b>reg</b> and &<i>amp;</i> {LONG}</p></article>", f"R&reg and &amp; {LONG}"),
 ])
