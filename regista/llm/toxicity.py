@@ -33,6 +33,8 @@ SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 16 << 20
 #: no text over this part of these bytes (512 KB) is learned from, so that none fills its class; it is scored whole
 LONGEST_PART = 32
+#: what the whole text's difference weighs at least, as a part of the weight of its best stretch
+LEAST_WEIGHT = 0.1
 #: texts of either class, in their shares, that are added to those with an expression
 PRIOR_TEXTS = 10
 #: texts of a class are near copies if they share half of so many smallest hashes of three words
@@ -197,6 +199,18 @@ def _evidence(model: Model, hashes: np.ndarray, text: np.ndarray, texts: int) ->
 
 
 def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Logistic regression of weights above zero: the score rises with the models' difference and with the stretch."""
+    beta = _newton(x, y, weight)
+    kept = np.flatnonzero(beta[:-1] > 0)
+    if len(kept) < x.shape[1]:
+        part = _newton(x[:, kept], y, weight)
+        beta = np.zeros(x.shape[1] + 1)
+        beta[kept], beta[-1] = np.maximum(part[:-1], 0.0), part[-1]
+    beta[0] = max(beta[0], LEAST_WEIGHT * beta[1])
+    return beta
+
+
+def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps with a small ridge."""
     x = np.column_stack((x, np.ones(len(x))))
     beta = np.zeros(x.shape[1])
@@ -268,7 +282,9 @@ def _sample(docs: DataFrame, marks: DataFrame, rows: int, most: int) -> DataFram
         marks.where("toxic <> 0").orderBy(order, "doc_id").limit(rows)))
     # at most 2 * rows rows are broadcast
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    # of several rows of one id the text of the lowest hash stands for it
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
     own = F.octet_length("text").cast("bigint")
     size = F.sum(F.when(own <= most // LONGEST_PART, own).otherwise(0)).over(_by_class(order))
     taken = F.coalesce((own <= most // LONGEST_PART) & (F.col("size") <= most // 2), F.lit(False))

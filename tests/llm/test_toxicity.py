@@ -129,3 +129,23 @@ def test_a_class_of_too_long_texts_is_an_error(frame, labels):
     rows = [(d, f"{t} " * 1000 if d % 4 == 0 else t) for d, t in rows]
     with pytest.raises(ValueError, match="over 16384 bytes"):
         toxicity.score(frame(rows), labels(marks), most=1 << 19)
+
+
+def test_the_score_rises_with_both():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    y = (rng.random(3000) < 0.3).astype(float)
+    x = np.column_stack((-y + rng.normal(size=3000), 2 * y + rng.normal(size=3000)))     # the first speaks against its class
+    curve = toxicity._curve(x, y, np.ones(3000))
+    assert curve[0] == pytest.approx(toxicity.LEAST_WEIGHT * curve[1]) and curve[1] > 1
+    assert (toxicity._curve(-x, y, np.ones(3000))[:2] >= 0).all()
+
+
+def test_rows_of_one_id_with_different_texts_are_learned_from_alike(spark, frame, labels):
+    rows, marks = _rows(160)
+    rows += [(d, f"other {t}") for d, t in rows[:60]]
+    a, b = (sorted((r.doc_id, r.score) for r in toxicity.score(frame(x).repartition(n), labels(marks)).collect())
+            for x, n in ((rows, 2), (rows[::-1], 5)))
+    assert [r[0] for r in a] == [r[0] for r in b]
+    assert [r[1] for r in a] == pytest.approx([r[1] for r in b], abs=1e-6)
