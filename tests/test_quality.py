@@ -68,3 +68,28 @@ def test_unions_and_differences(spark, rows):
     assert common_columns(a, b).columns == ["b"]
     left = spark.createDataFrame([("x",), ("x",), ("z",), (None,)], "b string")
     assert rows(set_difference(left, a, "b")) == [("z",)]
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_distinct_ids_are_counted_exactly(spark, monkeypatch, dense):
+    """Register numbers by bitmaps, scattered ids as they are: the same figures."""
+    monkeypatch.setattr(quality, "_DENSE", 1 if dense else 10**9)
+    ids = [f"S{i:05d}" for i in range(40_000)] + [f"S{i:06d}" for i in range(500)] + ["7", "07", "007", "0", "", "abc", "x1y", None, None]
+    ids += [f"T{i}" for i in range(300)] + ["9" * 18, "9" * 19, "9" * 25, "1" + "9" * 25] + ["S00001"] * 1000
+    before = spark.createDataFrame([(i,) for i in ids], "id string").repartition(5)
+    after = before.where("id IS NULL OR id <> 'S00001'")
+    row = quality.distinct_preserved(before, "id", after, "id").first()
+    assert (row["before_count"], row["after_count"], row["preserved"]) == (len(set(ids)), len(set(ids)) - 1, False)
+    numbers = spark.range(-50, 70_000).unionAll(spark.range(100))
+    row = quality.distinct_preserved(numbers, "id", numbers.distinct(), "id").first()
+    assert (row["before_count"], row["after_count"], row["preserved"]) == (70_050, 70_050, True)
+    none = before.limit(0)
+    assert quality.distinct_preserved(none, "id", none, "id").first()["preserved"] is False
+
+
+def test_dense_ids_do_not_travel(spark):
+    ids = spark.range(200_000).selectExpr("concat('S', lpad(CAST(id AS STRING), 8, '0')) AS id")
+    counted = quality.distinct_preserved(ids, "id", ids, "id")
+    assert counted.first()["before_count"] == 200_000
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan
