@@ -64,7 +64,7 @@ def test_run(spark, folder):
 def test_registered():
     assert len(corpus_pipeline.STAGES) == 5 and all(len(inspect.signature(f).parameters) == 3 for _, f in corpus_pipeline.STAGES)
     names = queries.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert set(queries.oracle_sql()) <= set(names)
 
 
@@ -74,7 +74,7 @@ def test_queries_agree_with_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.001/{table}.parquet'")
     df = queries.queries()[name](spark, "/root/testdata/sf0.001")
     cursor = con.execute(queries.oracle_sql()[name])
