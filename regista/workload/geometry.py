@@ -7,7 +7,7 @@ from regista.functions.scalar import round_places
 from regista.operators import geometry
 from regista.operators.joins import members_only
 from regista.operators.project import where_equals
-from regista.sources.tables import publish_mart, write_parquet_snappy
+from regista.sources.tables import publish_mart, read_table, write_parquet_snappy
 from regista.workload.registry import Tables, query
 from regista.workspace import run_folder
 
@@ -163,4 +163,4 @@ def boundary_publish(t: Tables) -> DataFrame:
     features = geometry.boundary_features(_shapes(t), "comarques", digits=6)
     write_parquet_snappy(features, f"{folder}/staging")
     publish_mart(t.spark, f"{folder}/staging", f"{folder}/marts")
-    return t.spark.read.parquet(f"{folder}/marts")
+    return read_table(t.spark, f"{folder}/marts")
