@@ -106,7 +106,7 @@ def _commit(spark: SparkSession, table: str, change: Callable[[dict], dict]) ->
 
 def _folders(record: dict) -> set[str]:
     """The generations a record names."""
-    return {path.split("/")[1] for kind in record.values() if isinstance(kind, dict) for path in kind.values() if path.startswith("data/")}
+    return {path.split("/")[1] for kind in record.values() if isinstance(kind, dict) for path in kind.values() if isinstance(path, str) and path.startswith("data/")}
 
 
 def _forget(spark: SparkSession, table: str, number: int) -> None:
