@@ -20,8 +20,9 @@ from regista.workspace import settle
 
 SHARDS = 16
 NODES = 64
-#: ranks are counted in 2 ** FINE_BITS stretches of the ring, so no task ranks a whole arc
-FINE_BITS = 16
+#: rows that one task ranks or writes, about; copies of a row travel in blocks of BLOCK_ROWS
+TASK_ROWS = 1 << 20
+BLOCK_ROWS = 1 << 12
 _CELL_BITS = 10
 
 
@@ -84,37 +85,56 @@ def _plan(totals: DataFrame, arcs: DataFrame, shards: int, slack: float) -> Data
     return folded.select(F.explode("out").alias("x")).select("x.*")
 
 
+def _blocks(alike: DataFrame, names: list[str]) -> DataFrame:
+    """Copies of a row, counted in ``__rows``, as numbered blocks of at most BLOCK_ROWS."""
+    last = F.expr(f"(__rows - 1) div {BLOCK_ROWS}")
+    return alike.select(*names, "__rows", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("__block")).select(
+        *names, "__block", F.least(F.lit(BLOCK_ROWS), F.col("__rows") - F.col("__block") * BLOCK_ROWS).alias("__rows"))
+
+
+def _ranged(blocks: DataFrame, names: list[str], shards: int, nodes: int, ranges: int) -> DataFrame:
+    """``blocks`` with ring position, arc and the number of the range they lie in.
+
+    Ranges follow ring order and, within a key, its rows, all of which differ: a key of many rows is
+    cut into several ranges.
+    """
+    at = F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("\x00")))
+    return blocks.withColumn("__at", at).withColumn("__cell", F.shiftright("__at", 64 - _CELL_BITS)).join(
+        F.broadcast(_cells(blocks.sparkSession, shards, nodes)), F.col("__cell") == F.col("cell")).select(
+        *names, "__block", "__rows", "__at",
+        F.get(F.filter("ends", lambda e: e["at"] >= F.col("__at")), F.lit(0))["arc"].alias("arc")).repartitionByRange(
+        ranges, "__at", *names, "__block").withColumn("__range", F.spark_partition_id())
+
+
 def assign(keys: DataFrame, shards: int = SHARDS, nodes: int = NODES, slack: float = 0.0) -> DataFrame:
     """``keys`` (key, and columns that tell rows of one key apart) with ``shard`` and ``slot``.
 
     Slots of a shard run from 0 without gaps. Equal rows are counted before they travel and told
-    apart again at the end, so one key may hold any share of the rows. Null keys hash like a value.
+    apart again at the end, block by block; different rows of one key are ranked in several ranges.
+    So one key may hold any share of the rows. Null keys hash like a value.
     """
     if slack < 0:
         raise ValueError("slack must not be negative")
     spark = keys.sparkSession
     names = keys.columns
-    at = F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("\x00")))
     alike = settle(keys.groupBy(*names).agg(F.count("*").alias("__rows")))
-    placed = alike.withColumn("__at", at).withColumn("__cell", F.shiftright("__at", 64 - _CELL_BITS)).join(
-        F.broadcast(_cells(spark, shards, nodes)), F.col("__cell") == F.col("cell")).select(
-        *names, "__rows", "__at", F.shiftright("__at", 64 - FINE_BITS).alias("__fine"),
-        F.get(F.filter("ends", lambda e: e["at"] >= F.col("__at")), F.lit(0))["arc"].alias("arc"))
-    fine = settle(placed.groupBy("arc", "__fine").agg(F.sum("__rows").alias("rows")))
-    before = fine.select("arc", "__fine", (F.sum("rows").over(
-        Window.partitionBy("arc").orderBy("__fine")) - F.col("rows")).alias("__before"))
-    plan = _plan(fine.groupBy("arc").agg(F.sum("rows").alias("rows")), _arcs(spark, shards, nodes), shards, slack)
-    # both tables are bounded by the parameters: 2 ** FINE_BITS + shards * nodes rows, and as many stretches
-    # as arcs and shards
-    order = Window.partitionBy("__fine", "arc").orderBy("__at", *names)
-    ranked = placed.withColumn("__until", F.sum("__rows").over(order)).join(
-        F.broadcast(before), ["arc", "__fine"]).select(
-        *names, "arc", F.explode(F.sequence(
-            F.col("__before") + F.col("__until") - F.col("__rows"),
-            F.col("__before") + F.col("__until") - 1)).alias("__rank"))
-    return ranked.join(F.broadcast(plan.withColumnRenamed("arc", "__arc")),
-                       (F.col("arc") == F.col("__arc")) & (F.col("__rank") >= F.col("from"))
-                       & (F.col("__rank") < F.col("until"))).select(
+    size = alike.agg(F.count("*").alias("n"), F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows")).first()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, -(-(size["n"] + size["rows"] // BLOCK_ROWS) // TASK_ROWS))
+    placed = settle(_ranged(_blocks(alike, names), names, shards, nodes, ranges))
+    held = settle(placed.groupBy("arc", "__range").agg(F.sum("__rows").alias("rows")))
+    before = held.select("arc", "__range", (F.sum("rows").over(
+        Window.partitionBy("arc").orderBy("__range")) - F.col("rows")).alias("__before"))
+    plan = _plan(held.groupBy("arc").agg(F.sum("rows").alias("rows")), _arcs(spark, shards, nodes), shards, slack)
+    # the plan is bounded by the parameters: a row for each arc and each shard that fills up
+    order = Window.partitionBy("arc", "__range").orderBy("__at", *names, "__block")
+    ranked = placed.withColumn("__until", F.sum("__rows").over(order)).join(before, ["arc", "__range"]).select(
+        *names, "arc", "__rows", (F.col("__before") + F.col("__until") - F.col("__rows")).alias("__first"))
+    dealt = ranked.repartition(max(least, -(-size["rows"] // TASK_ROWS)), "arc", "__first").select(
+        *names, "arc", F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__rows") - 1)).alias("__rank"))
+    return dealt.join(F.broadcast(plan.withColumnRenamed("arc", "__arc")),
+                      (F.col("arc") == F.col("__arc")) & (F.col("__rank") >= F.col("from"))
+                      & (F.col("__rank") < F.col("until"))).select(
         *names, "shard", (F.col("base") + F.col("__rank") - F.col("from")).alias("slot"))
 
 
@@ -123,7 +143,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, nodes: int = NODES, s
 
     ``size`` is the text's UTF-8 bytes plus one; null text counts as empty. With no slack the counts
     of the shards are at most one apart (law ``rows``). Repeated rows get slots of their own; rows
-    with a null doc_id share one place on the ring; an empty table gives no rows.
+    with a null doc_id share one place on the ring; an empty table gives no rows. Texts are measured
+    whole at any length; other columns of ``docs`` are not read.
     """
     text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     keys = docs.select(F.col("doc_id").cast("bigint").alias("key"),

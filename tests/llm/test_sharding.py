@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from regista.llm import sharding
 
@@ -23,8 +24,6 @@ def _walk(ring, keys, shards, capacity):
 
 
 def _hashes(spark, rows):
-    from pyspark.sql import functions as F
-
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     h = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00")))
     return [(r.h, r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()))
@@ -60,5 +59,22 @@ def test_one_more_shard_moves_few_keys(frame):
     assert moved < 2000 * 0.3
 
 
+def test_a_hot_key_is_ranked_and_written_in_many_tasks(spark, frame, monkeypatch):
+    monkeypatch.setattr(sharding, "TASK_ROWS", 400)
+    monkeypatch.setattr(sharding, "BLOCK_ROWS", 16)
+    rows = [(None, f"text {i}") for i in range(3000)] + [(7, "copy")] * 3000 + [(i, "x") for i in range(3000)]
+    keys = frame(rows).selectExpr("doc_id AS key", "text")
+    alike = keys.groupBy("key", "text").agg(F.count("*").alias("__rows"))
+    ranged = sharding._ranged(sharding._blocks(alike, ["key", "text"]), ["key", "text"], 16, 8, 16)
+    assert max(r["count"] for r in ranged.groupBy("__range").count().collect()) < 1200
+    got = sharding.assign(keys, 16, 8)
+    places = got.withColumn("task", F.spark_partition_id()).collect()
+    assert max(Counter(r.task for r in places).values()) < 1500
+    assert Counter((r.key, r.text) for r in places) == Counter(rows)
+    for shard in range(16):
+        slots = sorted(r.slot for r in places if r.shard == shard)
+        assert slots == list(range(len(slots))) and len(slots) in (562, 563)
+
+
 def test_empty_table(frame):
     assert sharding.shard_documents(frame([])).count() == 0
