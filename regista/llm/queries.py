@@ -66,8 +66,12 @@ def op7_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(rules.ORACLE)
 def op8_quality_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.judged(rules.ledger(_table(spark, sf_dir, "documents"))).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return rules.verdicts(rules.open_ledger(_table(spark, sf_dir, "documents"))).drop("n_lines")
+
+
+@_query(rules.ABLATIONS_ORACLE)
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.policy_ablations(rules.open_ledger(_table(spark, sf_dir, "documents")))
 
 
 @_query()

@@ -40,6 +40,17 @@ def test_sql_agrees(frame, rows):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_versions_and_ablations_agree_with_sql(frame, rows):
+    con = duckdb.connect()
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64"})  # noqa: F841  (read by the SQL)
+    entries = rules.open_ledger(frame(rows, clash=True))
+    for df, sql in ((rules.verdicts(entries).drop("n_lines"), rules.ORACLE), (rules.policy_ablations(entries), rules.ABLATIONS_ORACLE)):
+        want = con.sql(f"SELECT {', '.join(df.columns)} FROM ({sql})").fetchall()
+        assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+    kept = {r.version: r.kept for r in rules.policy_ablations(entries).collect()}
+    assert kept == {v: rules.judged(entries, v).where("kept").count() for v in rules.POLICIES}
+
+
 def test_bits_policies_and_ablations(frame, rows):
     entries = rules.ledger(frame(rows)).cache()
     bits = {r: rules.bit(r) for r in rules.RULES}
@@ -65,4 +76,5 @@ def test_bits_policies_and_ablations(frame, rows):
 
 def test_empty_table(frame):
     assert rules.judged(rules.ledger(frame([]))).count() == 0
+    assert rules.policy_ablations(rules.ledger(frame([]))).count() == 0
     assert {(r.failed, r.failed_alone) for r in rules.ablations(rules.ledger(frame([]))).collect()} <= {(0, 0)}
