@@ -51,18 +51,25 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _repeated_words(words: Column) -> Column:
-    """Words inside windows that occur twice or more: equal windows are neighbours once sorted."""
-    windows = F.transform(F.sequence(F.lit(1), F.size(words) - (WINDOW - 1)),
-                          lambda i: F.struct(F.xxhash64(F.slice(words, i, WINDOW)).alias("h"), i.alias("i")))
+    """Words inside windows that occur twice or more: equal windows are neighbours once sorted.
+
+    Only a text that holds equal windows at all is sorted.
+    """
+    hashes = _let(F.transform(words, lambda x: F.xxhash64(x)), lambda h: F.transform(
+        F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(h, i, WINDOW))))
 
     def repeated(ordered: Column) -> Column:
         return F.filter(ordered, lambda x, k: (F.get(ordered, k - 1)["h"] == x["h"]).eqNullSafe(F.lit(True))
                         | (F.get(ordered, k + 1)["h"] == x["h"]).eqNullSafe(F.lit(True)))
 
-    places = F.sort_array(F.transform(_let(F.sort_array(windows), repeated), lambda x: x["i"]))
-    start = F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last"))
-    count = F.aggregate(places, start, lambda s, i: F.struct(
-        (s["n"] + F.least(F.lit(WINDOW), i - s["last"])).alias("n"), i.alias("last")), lambda s: s["n"])
+    def covered(windows: Column) -> Column:
+        numbered = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        places = F.sort_array(F.transform(_let(F.sort_array(numbered), repeated), lambda x: x["i"]))
+        start = F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last"))
+        return F.aggregate(places, start, lambda s, i: F.struct(
+            (s["n"] + F.least(F.lit(WINDOW), i - s["last"])).alias("n"), i.alias("last")), lambda s: s["n"])
+
+    count = _let(hashes, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(covered(w)))
     return F.when(F.size(words) < WINDOW, F.lit(0)).otherwise(count).cast("bigint")
 
 
