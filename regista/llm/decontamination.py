@@ -3,13 +3,14 @@
 Words are compared without the case of A to Z. Runs of five words that a document shares with a
 benchmark item are the seeds; pairs of document and item whose seeds could cover enough of the item
 are tiled: the longest common run of words not yet marked is marked on both sides, again and again,
-down to runs of five. Runs are looked up by running Karp-Rabin hashes at a search length that falls
+down to runs of five; an item of fewer words is sought by runs of all its words. Runs are looked up by running Karp-Rabin hashes at a search length that falls
 as the long ones are used up. Tiles may lie in any order, so a passage with its parts moved around
 is found as well. An item is in a document if tiles cover the stated share of its words.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ COVERAGE = 0.8
 #: benchmark text broadcast at once; a larger benchmark is searched block by block
 BLOCK_BYTES = 32 << 20
 _FIRST_LENGTH = 32
+#: (text, item, place) rows compared at once, beyond a text that has more
+_SEED_ROWS = 1 << 20
 SCHEMA = "doc_id bigint, item_id bigint, item_words bigint, covered_words bigint, tiles bigint, coverage double"
 
 
@@ -89,21 +92,42 @@ def _matches(item: np.ndarray, text: np.ndarray, free_item: np.ndarray, free_tex
 
 
 class Seeds:
-    """The items of one block with their seeds in order of hash."""
-
-    def __init__(self, ids: np.ndarray, texts: list[str | None]):
-        column = pa.array([t or "" for t in texts], pa.large_string())
-        self.ids = ids
-        self.items: list[np.ndarray] = []
-        for w in pieces(column, lower=True):
-            self.items += np.split(w.hashes, np.searchsorted(w.text, np.arange(1, w.texts))) if w.texts else []
-        hashes = [run_hashes(x, MIN_MATCH) for x in self.items]
+    """Items that are sought by runs of ``length`` words, with these runs in order of hash."""
+
+    def __init__(self, ids: list, items: list[np.ndarray], length: int):
+        self.ids, self.items, self.length = ids, items, length
+        hashes = [run_hashes(x, length) for x in items]
         flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
         item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes]) if hashes else np.zeros(0, np.int64)
         place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(h)) for h in hashes]])
         order = np.argsort(flat, kind="stable")
         self.hashes, self.item, self.place = flat[order], item[order], place[order]
-        self.words = np.asarray([len(x) for x in self.items], np.int64)
+        self.words = np.asarray([len(x) for x in items], np.int64)
+
+
+def _tables(ids: list, texts: list[str | None]) -> list[Seeds]:
+    """The items with words by the length of their seeds: five words, or all words of a shorter item."""
+    items: list[np.ndarray] = []
+    for w in pieces(pa.array([t or "" for t in texts], pa.large_string()), lower=True):
+        items += np.split(w.hashes, np.searchsorted(w.text, np.arange(1, w.texts))) if w.texts else []
+    found = []
+    for length in range(1, MIN_MATCH + 1):
+        chosen = [k for k, x in enumerate(items) if min(len(x), MIN_MATCH) == length]
+        if chosen:
+            found.append(Seeds([ids[k] for k in chosen], [items[k] for k in chosen], length))
+    return found
+
+
+_built: tuple[str, list[Seeds]] | None = None
+
+
+def _block(name: str, shared) -> list[Seeds]:
+    """The tables of a block; a process keeps those it used last."""
+    global _built
+    if _built is None or _built[0] != name:
+        _built = None
+        _built = (name, _tables(*shared.value))
+    return _built[1]
 
 
 def _candidates(seeds: Seeds, text: np.ndarray, runs: np.ndarray, coverage: float) -> Iterator[tuple[int, int]]:
@@ -114,25 +138,37 @@ def _candidates(seeds: Seeds, text: np.ndarray, runs: np.ndarray, coverage: floa
         return
     pair = np.unique(np.stack((text[hit], low[hit]), axis=1), axis=0)      # each seed of a text once
     many = np.searchsorted(seeds.hashes, seeds.hashes[pair[:, 1]], "right") - pair[:, 1]
+    total, ends = np.cumsum(many), np.append(np.flatnonzero(np.diff(pair[:, 0])) + 1, len(pair))
+    start = 0
+    while start < len(pair):
+        ahead = ends[ends > start]
+        fit = ahead[total[ahead - 1] - (total[start] - many[start]) <= _SEED_ROWS]
+        stop = int(fit[-1] if len(fit) else ahead[0])
+        yield from _enough(seeds, pair[start:stop], many[start:stop], coverage)
+        start = stop
+
+
+def _enough(seeds: Seeds, pair: np.ndarray, many: np.ndarray, coverage: float) -> Iterator[tuple[int, int]]:
+    """:func:`_candidates` of whole texts, from (text, first place in the seeds) and how many seeds follow."""
     at = np.repeat(pair[:, 1], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     rows = np.stack((np.repeat(pair[:, 0], many), seeds.item[at], seeds.place[at]), axis=1)
     rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
     first = np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)))
-    reach = np.full(len(rows), MIN_MATCH)
-    reach[:-1] = np.where(first[1:], MIN_MATCH, np.minimum(MIN_MATCH, rows[1:, 2] - rows[:-1, 2]))
+    reach = np.full(len(rows), seeds.length)
+    reach[:-1] = np.where(first[1:], seeds.length, np.minimum(seeds.length, rows[1:, 2] - rows[:-1, 2]))
     heads = np.flatnonzero(first)
     covered = np.add.reduceat(reach, heads)
     for k in heads[covered >= coverage * seeds.words[rows[heads, 1]]].tolist():
         yield int(rows[k, 0]), int(rows[k, 1])
 
 
-def _near(item: np.ndarray, text: np.ndarray) -> np.ndarray:
+def _near(item: np.ndarray, text: np.ndarray, length: int = MIN_MATCH) -> np.ndarray:
     """``text`` cut down to the runs it shares with the item, with something unequal between them."""
-    runs = run_hashes(text, MIN_MATCH)
-    hit = np.flatnonzero(np.isin(runs, run_hashes(item, MIN_MATCH)))
+    runs = run_hashes(text, length)
+    hit = np.flatnonzero(np.isin(runs, run_hashes(item, length)))
     edge = np.zeros(len(text) + 1, np.int64)
     np.add.at(edge, hit, 1)
-    np.add.at(edge, hit + MIN_MATCH, -1)
+    np.add.at(edge, hit + length, -1)
     keep = np.cumsum(edge[:-1]) > 0
     breaks = np.flatnonzero(keep[1:] & ~keep[:-1]) + 1
     stand_in = mixed(~item[:1])
@@ -140,24 +176,25 @@ def _near(item: np.ndarray, text: np.ndarray) -> np.ndarray:
                            zip(np.split(text, breaks), np.split(keep, breaks))])
 
 
-def _search(shared, coverage: float):
+def _search(name: str, shared, coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds: Seeds = Seeds(*shared.value)
         for batch in batches:
             ids = batch.column(0)
             rows = []
             for w in pieces(batch.column(1), lower=True):
-                inside = np.flatnonzero(same_text(w.text, MIN_MATCH))
-                if not len(inside) or not len(seeds.hashes):
-                    continue
                 bounds = np.searchsorted(w.text, np.arange(w.texts + 1))
-                for text, number in _candidates(seeds, w.text[inside], run_hashes(w.hashes, MIN_MATCH)[inside], coverage):
-                    item = seeds.items[number]
-                    found = tiles(item, _near(item, w.hashes[bounds[text]:bounds[text + 1]]))
-                    covered = sum(size for _, _, size in found)
-                    if covered >= coverage * len(item):
-                        rows.append((ids[w.first + text].as_py(), seeds.ids[number], len(item), covered, len(found),
-                                     covered / len(item)))
+                for seeds in _block(name, shared):
+                    length = seeds.length
+                    inside = np.flatnonzero(same_text(w.text, length))
+                    if not len(inside):
+                        continue
+                    for text, number in _candidates(seeds, w.text[inside], run_hashes(w.hashes, length)[inside], coverage):
+                        item = seeds.items[number]
+                        found = tiles(item, _near(item, w.hashes[bounds[text]:bounds[text + 1]], length), length)
+                        covered = sum(size for _, _, size in found)
+                        if covered >= coverage * len(item):
+                            rows.append((ids[w.first + text].as_py(), seeds.ids[number], len(item), covered, len(found),
+                                         covered / len(item)))
             columns = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 5 + [pa.float64()])],
@@ -171,9 +208,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     """(doc_id, item_id, item_words, covered_words, tiles, coverage): items found in documents.
 
     One row for each row of ``docs`` and item with at least ``coverage`` of the item's words under
-    tiles; documents without any have no row. Null texts count as empty. Items of fewer than five
-    words have no seed and never match. Repeated rows on either side give repeated results; an empty
-    table on either side gives none. All documents are read once for each block of the benchmark.
+    tiles; documents without any have no row. Null texts count as empty. An item of fewer than five
+    words is found where all its words stand in a row; one without words is never found. Of equally
+    long tiles that overlap, the one that starts first in the item, then in the text, is marked.
+    Repeated rows on either side give repeated results; an empty table on either side gives none;
+    other columns are not read. Texts of any length are searched whole. All documents are read once
+    for each block of the benchmark.
     """
     ship(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -185,6 +225,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         rows: pd.DataFrame = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toPandas()
         ids = [None if pd.isna(i) else int(i) for i in rows["item_id"]]
         shared = docs.sparkSession.sparkContext.broadcast((ids, rows["text"].tolist()))
-        part = texts.mapInArrow(_search(shared, coverage), SCHEMA)
+        part = texts.mapInArrow(_search(uuid.uuid4().hex, shared, coverage), SCHEMA)
         found = part if found is None else found.unionAll(part)
     return found

@@ -68,10 +68,37 @@ def _rows():
 def test_contaminated(frame, benchmark):
     docs = frame(_rows(), clash=True)
     got = sorted(((r.doc_id, r.item_id, r.covered_words) for r in D.contaminated(docs, benchmark).collect()), key=str)
-    want = [(1, 1, 40), (2, 1, 40), (3, 1, 39), (8, 2, 18), (9, 6, 50), (9, 6, 50), (None, None, 30), (11, 1, 40), (11, 2, 18)]
+    want = [(1, 1, 40), (2, 1, 40), (3, 1, 39), (8, 2, 18), (9, 6, 50), (9, 6, 50), (None, None, 30), (10, 3, 3), (10, 3, 3), (11, 1, 40), (11, 2, 18)]
     assert got == sorted(want, key=str)
 
 
+def test_agrees_with_tiling_every_pair(spark, frame):
+    rng = random.Random(9)
+    item_rows = [(i, " ".join(rng.choice("abcdef") for _ in range(1 + i % 9))) for i in range(60)] + [(100, ""), (101, None)]
+    docs = [(i, " ".join(rng.choice("abcdefghij") for _ in range(rng.randrange(0, 60)))) for i in range(40)]
+    docs += [(50 + i, f"x {item_rows[i][1].upper()}\ty") for i in range(30)]
+    want = set()
+    for doc, text in docs:
+        for item, passage in item_rows:
+            sought = (passage or "").split()
+            covered = _naive(sought, text.lower().split(), min(5, len(sought))) if sought else 0
+            if sought and covered >= D.COVERAGE * len(sought):
+                want.add((doc, item, covered))
+    table = spark.createDataFrame(item_rows, "item_id bigint, text string")
+    got = [(r.doc_id, r.item_id, r.covered_words) for r in D.contaminated(frame(docs), table).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_candidates_in_small_steps_are_the_same(monkeypatch):
+    rng = random.Random(4)
+    tables = D._tables(list(range(30)), [" ".join(rng.choice("abc") for _ in range(7)) for _ in range(30)])
+    assert [t.length for t in tables] == [5]
+    text, runs = np.repeat(np.arange(50), 20), np.tile(tables[0].hashes[::3], 50)[:1000]
+    whole = list(D._candidates(tables[0], text, runs, 0.8))
+    monkeypatch.setattr(D, "_SEED_ROWS", 40)
+    assert whole and list(D._candidates(tables[0], text, runs, 0.8)) == whole
+
+
 def test_blocks_of_the_benchmark_give_the_same(frame, benchmark):
     docs = frame(_rows())
     whole = sorted(map(tuple, D.contaminated(docs, benchmark).collect()), key=str)
