@@ -14,7 +14,7 @@ from regista.plans.serving import serving_tables
 from regista.plans.staging import build_catalogs, staging_population
 from regista.schemas import CAPACITY_MART, CENSUS_CUBE
 from regista.sources import catalogs, tables
-from regista.sources.landing import PARTITION, read_landing_json
+from regista.sources.landing import PARTITION, read_landing_json, read_landing_records
 from regista.streaming.landing import follow_landing, landing_stream
 from regista.workload import roles
 from regista.workload.documents import CUBE_SQL, census_cubes
@@ -95,6 +95,28 @@ def landing_json_scan(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+SELECT strftime(o_orderdate, '%Y') AS year,
+       CASE WHEN o_custkey % 10 = 0 THEN 'capacitat' WHEN o_custkey % 10 = 1 THEN 'record' END AS fault,
+       COUNT(*) AS row_count, CAST(SUM(CASE WHEN o_custkey % 10 > 2 THEN o_custkey END) AS BIGINT) AS capacitat
+FROM orders GROUP BY 1, 2""")
+def landing_quarantine(t: Tables) -> DataFrame:
+    """Array pages taken apart record by record; records of a wrong type are set aside, the others counted."""
+    folder = run_folder(t.spark, "faulty")
+    key, text = F.col("o_custkey"), F.col("o_custkey").cast("string")
+    given = F.when(key % 10 == 0, F.lit('"n/a"')).when(key % 10 == 2, F.lit("null")).otherwise(text)
+    record = F.when(key % 10 == 1, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(
+        F.concat(F.lit('{"registre": "S'), F.col("o_orderkey").cast("string"), F.lit('", "capacitat": '), given, F.lit("}")))
+    pages = t.orders.select(F.date_format("o_orderdate", "yyyy").alias("year"),
+                            F.floor(F.col("o_orderkey") / 100_000).alias("page"), record.alias("record")).groupBy(
+        "year", "page").agg(F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("text"))
+    pages.write.partitionBy("year", "page").text(folder)
+    schema = T.StructType([T.StructField("registre", T.StringType()), T.StructField("capacitat", T.LongType())])
+    return read_landing_records(t.spark, folder, schema, "part-*").groupBy(
+        F.regexp_extract("_page", r"year=(\d+)", 1).alias("year"), F.col("_fault").alias("fault")).agg(
+        F.count("*").alias("row_count"), F.sum("capacitat").alias("capacitat"))
+
+
 @query(with_ctes(_REGISTER_ROWS, select="""
 SELECT registre, municipi FROM register"""))
 def record_pages(t: Tables) -> DataFrame:
