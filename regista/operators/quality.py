@@ -175,4 +175,5 @@ def by_match_quality(matches: DataFrame, *tie: str) -> DataFrame:
 
 def missing_members(expected: DataFrame, landed: DataFrame, column: str) -> DataFrame:
     """Announced members (for instance census years) that did not land."""
-    return expected.select(column).distinct().join(landed.select(column), column, "left_anti")
+    # few members land in many rows: join their distinct values, not every landed row of one member in one task
+    return expected.select(column).distinct().join(landed.select(column).distinct(), column, "left_anti")

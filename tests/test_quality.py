@@ -52,6 +52,15 @@ def test_missing_members(spark, rows):
     assert rows(quality.missing_members(expected, landed, "year")) == [(2000,), (2021,)]
 
 
+def test_missing_members_joins_distinct_landed_values(spark, rows):
+    expected = spark.createDataFrame([(2000,), (2011,), (None,)], "year int")
+    landed = spark.range(1000).selectExpr("IF(id % 2 = 0, 2011, NULL) AS year")
+    missing = quality.missing_members(expected, landed, "year")
+    assert rows(missing) == [(2000,), (None,)]
+    # both sides are reduced to their members before the join
+    assert missing._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
+
+
 def test_mart_filter_drops_nulls(spark, rows):
     df = spark.createDataFrame(
         [(1, "RES-003"), (0, "RES-003"), (None, "RES-003"), (5, None), (5, "BAS-001")],
