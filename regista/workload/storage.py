@@ -397,7 +397,8 @@ def incremental_landing(t: Tables) -> DataFrame:
         if wave and wave[0] != days[0]:
             again = files.Path(f"{folder}/landing/{days[0].getName()}")
             for page in system.listStatus(again):
-                copy = files.Path(again, f"9{page.getPath().getName()[1:]}")
+                # pages are padded to eight digits only, so no page name of more digits starts with 0
+                copy = files.Path(again, f"0{page.getPath().getName()}")
                 files.FileUtil.copy(system, page.getPath(), system, copy, False, configuration)
         stream = landing_stream(t.spark, f"{folder}/landing")
         follow_landing(stream, f"{folder}/landing", f"{folder}/clean", f"{folder}/progress").awaitTermination()

@@ -114,3 +114,18 @@ def test_an_empty_landing_folder(spark, landing):
     os.makedirs(landing.path)
     assert landing.refresh() == []
     assert generations.current(spark, landing.target) == (0, {})
+
+
+def test_pages_landed_again_take_no_page_name_of_the_first_date(spark, tmp_path):
+    from regista.workload.registry import Tables
+    from regista.workload.storage import incremental_landing
+
+    # pages 00000000 and 90000000 of one date, and a later date for the second wave
+    spark.createDataFrame(
+        [(1, 7, "F", "1992-01-02", "1-URGENT"), (90_000_001, 8, "O", "1992-03-04", "2-HIGH"),
+         (2, 9, "O", "1993-05-06", "3-MEDIUM")],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string, o_orderpriority string",
+    ).selectExpr("*", "CAST(o_orderdate AS DATE) AS day").drop("o_orderdate").withColumnRenamed("day", "o_orderdate") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    landed = incremental_landing(Tables(spark, str(tmp_path)))
+    assert sorted(r.registre for r in landed.select("registre").collect()) == ["S00000001", "S00000002", "S90000001"]
