@@ -1,12 +1,17 @@
 """Sources and sinks: tables written to the shared folder and read back."""
 
-from pyspark.sql import DataFrame
+import functools
+from collections.abc import Iterable
+
+from pyarrow import fs as pafs
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regista.fixed_values import SERVICE_TYPES
 from regista.functions.document import member_codes, page_file_name
 from regista.functions.scalar import recode_value
+from regista.llm.shipping import ship
 from regista.operators.joins import lookup
 from regista.operators.sets import union_all
 from regista.plans.jobs import read_catalogs
@@ -32,6 +37,7 @@ from regista.workload.roles import (
 from regista.workspace import run_folder
 
 _JSON_LINES = "part-*.json"
+_HIVE_DEFAULT = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _text_schema(*names: str) -> T.StructType:
@@ -60,20 +66,27 @@ def _landed_register(t: Tables, keys_per_page: int = 100_000) -> str:
         F.struct(*[c.alias(n) for n, c in texts.items()]).alias("record"),
     )
     pages = records.groupBy("year", "page").agg(F.to_json(F.collect_list("record")).alias("text"))
-    pages.write.partitionBy("year", "page").text(f"{folder}/written")
-    # Spark names its files itself, a register's pages are named by their offset
+    # Spark names its files itself, a register's pages are named by their offset: each task writes its own pages
+    landed = f"{folder}/landed"
     files = t.spark._jvm.org.apache.hadoop.fs
-    system = files.Path(folder).getFileSystem(t.spark._jsc.hadoopConfiguration())
-    for year in system.listStatus(files.Path(f"{folder}/written")):
-        name = year.getPath().getName()
-        if not name.startswith("year="):
-            continue
-        target = f"{folder}/landed/{PARTITION}={name.removeprefix('year=')}0101"
-        system.mkdirs(files.Path(target))
-        for page in system.listStatus(year.getPath()):
-            part = next(p.getPath() for p in system.listStatus(page.getPath()) if p.getPath().getName().startswith("part-"))
-            system.rename(part, files.Path(f"{target}/{page.getPath().getName().removeprefix('page=')}"))
-    return f"{folder}/landed"
+    files.Path(landed).getFileSystem(t.spark._jsc.hadoopConfiguration()).mkdirs(files.Path(landed))
+    ship(t.spark)
+    pages.foreachPartition(functools.partial(_land_pages, landed))
+    return landed
+
+
+def _land_pages(landed: str, pages: Iterable[Row]) -> None:
+    """Writes each page as a text line to ``<landed>/downloaded_date=<year>0101/<page>``; no value: Spark's default."""
+    system, root = pafs.FileSystem.from_uri(landed)
+    made = set()
+    for page in pages:
+        year, name = (_HIVE_DEFAULT if v is None else v for v in (page["year"], page["page"]))
+        day = f"{root}/{PARTITION}={year}0101"
+        if day not in made:
+            system.create_dir(day)
+            made.add(day)
+        with system.open_output_stream(f"{day}/{name}") as out:
+            out.write(f"{page['text']}\n".encode())
 
 
 _REGISTER_ROWS = """register AS (
